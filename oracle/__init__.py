@@ -1,0 +1,27 @@
+"""DuckDB oracle: each query is plain SQL over the test parquet views.
+
+The reports are written as the source system states them (plain joins, the
+line x payment product included), so that they check the Spark operators'
+rewrites rather than repeat them. ``views.sql`` holds the fixture views as
+CTEs; every query is prefixed with them.
+"""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+HERE = Path(__file__).parent
+
+
+def names() -> list[str]:
+    return sorted(p.stem for p in HERE.glob("*.sql") if p.stem != "views")
+
+
+def sql(name: str) -> str:
+    views = (HERE / "views.sql").read_text().strip()
+    body = (HERE / f"{name}.sql").read_text().strip().rstrip(";")
+    return f"WITH {views}\n{body}"
+
+
+def all_sql() -> dict[str, str]:
+    return {n: sql(n) for n in names()}
