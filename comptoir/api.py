@@ -1,7 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Each builds the replica from the test parquet in ``sf_dir`` (fixture views)
-and runs one operator over all of it.
+Each builds its inputs from the test parquet in ``sf_dir`` (fixture views of
+``comptoir.sources.fixtures``) and runs one operator over all of it. Reports
+are returned in their published form (decimals as exact text, as in the
+snapshot JSON); ``comptoir.operators.reports.report`` gives the typed form.
 """
 
 from __future__ import annotations
@@ -11,15 +13,52 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from comptoir.functions.publish import published
+from comptoir.operators.gate import module_gate
+from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_health
+from comptoir.operators.registry import upsert_registry
 from comptoir.operators.reports import REPORTS, report
 from comptoir.plans.base import Base
-from comptoir.sources.fixtures import replica_from_testdata
+from comptoir.sources import fixtures as fx
 
 
 def _report_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(key, Base(replica_from_testdata(spark, sf_dir)))
+    return published(report(key, Base(fx.replica_from_testdata(spark, sf_dir))))
+
+
+def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.run_log_from_testdata(spark, sf_dir)
+    return sync_health(log, fx.cycles_from_run_log(log))
+
+
+def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replica = fx.replica_from_testdata(spark, sf_dir)
+    return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
+
+
+def q_sync_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _health(spark, sf_dir)
+
+
+def q_retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retry_schedule(_health(spark, sf_dir))
+
+
+def q_heartbeat_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replica = fx.replica_from_testdata(spark, sf_dir)
+    return merge_heartbeat(fx.registry_from_replica(replica), _health(spark, sf_dir))
+
+
+def q_registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replica = fx.replica_from_testdata(spark, sf_dir)
+    return upsert_registry(fx.registry_from_replica(replica), fx.activations_from_replica(replica))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    key: partial(_report_query, key) for key in REPORTS
+    **{key: partial(_report_query, key) for key in REPORTS},
+    "module_gate": q_module_gate,
+    "sync_health": q_sync_health,
+    "retry_schedule": q_retry_schedule,
+    "heartbeat_merge": q_heartbeat_merge,
+    "registry_upsert": q_registry_upsert,
 }

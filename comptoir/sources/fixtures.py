@@ -147,6 +147,7 @@ def run_log_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.concat(F.lit("m"), module_no.cast("string"), F.lit(": "),
                         F.repeat(F.lit("x"), (ek % 200).cast("int")))).alias("error"),
         F.floor(F.col("value") * 10).cast("int").alias("elapsed_ms"),
+        F.col("ts").alias("logged_at"),
     )
 
 
@@ -162,7 +163,14 @@ def registry_from_replica(replica: dict[str, DataFrame]) -> DataFrame:
         "tenant_id",
         F.concat(F.lit("HW-"), F.col("tenant_id")).alias("hw_id"),
         F.lit("active").alias("status"),
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("updated_at"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"),
         F.lit(1000).cast("int").alias("last_sync_duration_ms"),
         F.lit(None).cast("string").alias("last_sync_error"),
     )
+
+
+def activations_from_replica(replica: dict[str, DataFrame]) -> DataFrame:
+    """Registry updates: one activation per tenant with payments, at its latest payment."""
+    return (replica["F_CREGLEMENT"].groupBy("tenant_id").agg(F.max("RG_Date").alias("updated_at"))
+            .select("tenant_id", F.concat(F.lit("HW2-"), F.col("tenant_id")).alias("hw_id"),
+                    F.lit("active").alias("status"), "updated_at"))

@@ -17,9 +17,32 @@ def names() -> list[str]:
     return sorted(p.stem for p in HERE.glob("*.sql") if p.stem != "views")
 
 
+# Decimal output columns, published as exact text (as in the snapshot JSON).
+DECIMAL_COLUMNS: dict[str, list[str]] = {
+    "sales": ["MONTANT_TTC"],
+    "achats": ["MONTANT_TTC"],
+    "caisse": ["ENTREE_CAISSE", "SORTIE_CAISSE"],
+    "stock": ["QuantiteStock", "MontantStock"],
+    "top_articles": ["QuantiteVendue", "MontantVendu"],
+    "top_clients": ["CA_Total"],
+    "evolution_ca": ["CA_Jour", "Encaisse_Jour"],
+    "rotation": ["QuantiteVendue"],
+    "mode_reglement": ["TotalRegle"],
+    "mouvements": ["Quantite", "Montant"],
+    "dernieres_transac": ["Montant"],
+    "ca_famille": ["CA_Famille"],
+    "impayees": ["MontantFacture", "MontantRegle", "Solde"],
+    "solde_client": ["TotalFacture", "TotalRegle", "Solde"],
+}
+
+
 def sql(name: str) -> str:
     views = (HERE / "views.sql").read_text().strip()
     body = (HERE / f"{name}.sql").read_text().strip().rstrip(";")
+    dec = DECIMAL_COLUMNS.get(name)
+    if dec:
+        casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dec)
+        body = f"SELECT * REPLACE ({casts}) FROM (\n{body}\n)"
     return f"WITH {views}\n{body}"
 
 

@@ -71,7 +71,8 @@ RUN_LOG AS (
     CASE WHEN event_type = 'error'
       THEN concat('m', CAST(CAST(CAST(FLOOR(event_id / 3) AS BIGINT) % 15 AS INT) AS VARCHAR), ': ', repeat('x', CAST(event_id % 200 AS INT)))
     END AS error,
-    CAST(FLOOR(value * 10) AS INT) AS elapsed_ms
+    CAST(FLOOR(value * 10) AS INT) AS elapsed_ms,
+    ts AS logged_at
   FROM events
 ),
 CYCLES AS (
@@ -84,4 +85,25 @@ REGISTRY AS (
     TIMESTAMP '2024-01-01 00:00:00' AS updated_at, CAST(1000 AS INT) AS last_sync_duration_ms,
     CAST(NULL AS VARCHAR) AS last_sync_error
   FROM (SELECT DISTINCT tenant_id FROM F_DOCENTETE)
+),
+ACTIVATIONS AS (
+  SELECT tenant_id, concat('HW2-', tenant_id) AS hw_id, 'active' AS status, MAX(RG_Date) AS updated_at
+  FROM F_CREGLEMENT GROUP BY tenant_id
+),
+HEALTH AS (
+  SELECT C.tenant_id, C.cycle_no,
+    CASE WHEN C.cycle_error IS NOT NULL THEN 'error' WHEN coalesce(G.n_errors, 0) > 0 THEN 'degraded' ELSE 'active' END AS status,
+    left(CASE WHEN C.cycle_error IS NOT NULL THEN C.cycle_error WHEN coalesce(G.n_errors, 0) > 0 THEN G.error_text END, 500) AS last_sync_error,
+    CAST(CASE WHEN C.cycle_error IS NULL THEN coalesce(G.elapsed, 0) END AS INT) AS duration_ms,
+    G.reported_at
+  FROM CYCLES C
+  LEFT JOIN (
+    SELECT tenant_id, cycle_no, COUNT(error) AS n_errors, SUM(elapsed_ms) AS elapsed, MAX(logged_at) AS reported_at,
+      STRING_AGG(CASE WHEN err_rank <= 5 THEN msg END, '; ' ORDER BY module_no) AS error_text
+    FROM (
+      SELECT R.*, concat(M.module_key, ': ', R.error) AS msg,
+        CASE WHEN R.error IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY R.tenant_id, R.cycle_no, R.error IS NULL ORDER BY R.module_no) END AS err_rank
+      FROM RUN_LOG R LEFT JOIN MODULES M ON R.module_no = M.module_no
+    ) GROUP BY tenant_id, cycle_no
+  ) G ON C.tenant_id = G.tenant_id AND C.cycle_no = G.cycle_no
 )
