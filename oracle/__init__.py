@@ -36,14 +36,19 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
 }
 
 
-def sql(name: str) -> str:
-    views = (HERE / "views.sql").read_text().strip()
+def body_sql(name: str) -> str:
+    """The query alone, over tables named like the replica (no fixture views)."""
     body = (HERE / f"{name}.sql").read_text().strip().rstrip(";")
     dec = DECIMAL_COLUMNS.get(name)
     if dec:
         casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dec)
         body = f"SELECT * REPLACE ({casts}) FROM (\n{body}\n)"
-    return f"WITH {views}\n{body}"
+    return body
+
+
+def sql(name: str) -> str:
+    views = (HERE / "views.sql").read_text().strip()
+    return f"WITH {views}\n{body_sql(name)}"
 
 
 def all_sql() -> dict[str, str]:
