@@ -11,7 +11,7 @@ The same definitions, written in SQL, prefix every oracle query (``oracle/``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.functions.labels import MODULE_KEYS
@@ -22,104 +22,111 @@ CONNECT_ERROR = "SQL connect failed: login timeout expired"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _tenant_of(key: Column) -> Column:
-    return F.concat(F.lit("T"), (key % 3).cast("string"))
-
-
-def _code(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 6, "0"))
-
-
-def _doc_type(key: Column) -> Column:
-    m = (key % 5).cast("int")
-    return (F.when(m == 0, 7).when(m == 1, 6).when(m == 2, 17).when(m == 3, 20).otherwise(21))
-
-
-def _per_tenant(df: DataFrame) -> DataFrame:
-    return df.withColumn("tenant_id", F.explode(F.array(*[F.lit(t) for t in FIXTURE_TENANTS])))
-
-
-def _dec(c: Column, p: int, s: int) -> Column:
-    return c.cast(f"decimal({p},{s})")
+    """A test table; spread over the cores when its scan gives fewer tasks than the session has.
+
+    The test files hold one row group each, so a scan is one task however
+    large the file. Spreading before the per-row derivation lets every core
+    work. A large source split into many scan tasks is read as is.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        # Hash on the table's first (key) column: deterministic on recompute, no sort needed.
+        df = df.repartition(cores, df.columns[0])
+    return df
+
+
+# The views are given as Spark SQL expressions: one JVM call per table instead
+# of one per expression node keeps the driver's planning time small.
+_TENANTS = "explode(array(" + ", ".join(f"'{t}'" for t in FIXTURE_TENANTS) + ")) AS tenant_id"
+
+
+def _tenant(k: str) -> str:
+    return f"concat('T', CAST({k} % 3 AS STRING)) AS tenant_id"
+
+
+def _piece(k: str) -> str:
+    return f"concat('P', lpad(CAST(CAST(FLOOR({k} / 15) AS BIGINT) AS STRING), 6, '0')) AS DO_Piece"
+
+
+def _doc_type(k: str) -> str:
+    return (f"CASE CAST({k} % 5 AS INT) WHEN 0 THEN 7 WHEN 1 THEN 6 WHEN 2 THEN 17 WHEN 3 THEN 20 ELSE 21 END"
+            " AS DO_Type")
+
+
+VIEWS: dict[str, tuple[str, str | None, list[str]]] = {
+    # table: (source table, filter, select expressions)
+    "F_DOCENTETE": ("orders", None, [
+        _tenant("o_orderkey"), _piece("o_orderkey"), _doc_type("o_orderkey"),
+        "CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate ELSE o_orderdate + INTERVAL 9 HOURS END AS DO_Date",
+        "concat('C', lpad(CAST(o_custkey AS STRING), 6, '0')) AS DO_Tiers"]),
+    "F_DOCLIGNE": ("lineitem", None, [
+        _tenant("l_orderkey"), _piece("l_orderkey"), _doc_type("l_orderkey"),
+        "CASE WHEN l_partkey % 50 = 49 THEN NULL ELSE concat('A', lpad(CAST(l_partkey AS STRING), 6, '0')) END"
+        " AS AR_Ref",
+        "CASE WHEN l_linenumber = 7 THEN NULL ELSE concat('line ', l_returnflag, l_linestatus) END AS DL_Design",
+        "CAST(l_quantity AS DECIMAL(12,2)) AS DL_Qte",
+        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(1 - CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(5,2))"
+        " * CAST(1 + CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(5,2)) AS DECIMAL(18,6)) AS DL_MontantTTC",
+        "CASE WHEN l_partkey % 23 = 0 THEN CAST(0 AS DECIMAL(12,2)) ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END"
+        " AS DL_PrixUnitaire"]),
+    "F_COMPTET": ("customer", "c_custkey % 10 <> 9", [
+        _TENANTS, "concat('C', lpad(CAST(c_custkey AS STRING), 6, '0')) AS CT_Num", "c_name AS CT_Intitule"]),
+    "F_ARTICLE": ("part", "p_partkey % 20 <> 19", [
+        _TENANTS, "concat('A', lpad(CAST(p_partkey AS STRING), 6, '0')) AS AR_Ref", "p_name AS AR_Design",
+        "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS AR_PrixAch",
+        "p_type AS FA_CodeFamille"]),
+    "F_ARTSTOCK": ("part", None, [
+        _TENANTS, "concat('A', lpad(CAST(p_partkey AS STRING), 6, '0')) AS AR_Ref",
+        "CAST(CASE WHEN p_partkey % 7 = 0 THEN 0 WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size - 5 END"
+        " AS DECIMAL(12,2)) AS AS_QteSto",
+        "CAST(p_size * CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS AS_MontSto"]),
+    "F_CREGLEMENT": ("events", None, [
+        _tenant("event_id"), "event_id AS RG_No", "ts - INTERVAL 8766 DAYS AS RG_Date",
+        "CASE WHEN event_id % 17 = 0 THEN NULL ELSE concat('C', lpad(CAST(user_id AS STRING), 6, '0')) END"
+        " AS CT_NumPayeur",
+        "event_type AS RG_Libelle", "CAST(event_id % 2 AS INT) AS RG_Type",
+        "CAST(CAST(value AS DECIMAL(12,2)) * CASE WHEN user_id % 5 = 0 THEN 2000 ELSE 1 END AS DECIMAL(14,2))"
+        " AS RG_Montant",
+        "CAST(CAST(FLOOR(event_id / 3) AS BIGINT) % 6 AS INT) AS N_Reglement",
+        "CAST(CAST(FLOOR(event_id / 3) AS BIGINT) % 7 AS INT) AS CA_No"]),
+    "F_CAISSE": ("region", None, [_TENANTS, "CAST(r_regionkey AS INT) AS CA_No", "r_name AS CA_Intitule"]),
+}
+
+
+def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    src, cond, exprs = VIEWS[name]
+    df = _read(spark, sf_dir, src)
+    if cond:
+        df = df.where(cond)
+    return df.selectExpr(*exprs)
+
+
+_VIEW_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
 
 
 def replica_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight replica tables over ``sf_dir`` (see FIXTURES.md)."""
-    o = _read(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    headers = o.select(
-        _tenant_of(k).alias("tenant_id"),
-        _code("P", F.floor(k / 15).cast("bigint")).alias("DO_Piece"),
-        _doc_type(k).alias("DO_Type"),
-        F.when(k % 2 == 0, F.col("o_orderdate"))
-         .otherwise(F.col("o_orderdate") + F.expr("INTERVAL 9 HOURS")).alias("DO_Date"),
-        _code("C", F.col("o_custkey")).alias("DO_Tiers"),
-    )
+    """The eight replica tables over ``sf_dir`` (see FIXTURES.md).
 
-    li = _read(spark, sf_dir, "lineitem")
-    lk = F.col("l_orderkey")
-    amount = (_dec(F.col("l_extendedprice"), 12, 2)
-              * _dec(F.lit(1) - _dec(F.col("l_discount"), 4, 2), 5, 2)
-              * _dec(F.lit(1) + _dec(F.col("l_tax"), 4, 2), 5, 2))
-    lines = li.select(
-        _tenant_of(lk).alias("tenant_id"),
-        _code("P", F.floor(lk / 15).cast("bigint")).alias("DO_Piece"),
-        _doc_type(lk).alias("DO_Type"),
-        F.when(F.col("l_partkey") % 50 == 49, F.lit(None).cast("string"))
-         .otherwise(_code("A", F.col("l_partkey"))).alias("AR_Ref"),
-        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("line "), F.col("l_returnflag"), F.col("l_linestatus"))).alias("DL_Design"),
-        _dec(F.col("l_quantity"), 12, 2).alias("DL_Qte"),
-        _dec(amount, 18, 6).alias("DL_MontantTTC"),
-        F.when(F.col("l_partkey") % 23 == 0, _dec(F.lit(0), 12, 2))
-         .otherwise(_dec(F.col("l_extendedprice"), 12, 2)).alias("DL_PrixUnitaire"),
-    )
+    The view definitions (plans, not data) are built once per session and
+    folder, as SQL views would be registered once.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    cached = _VIEW_CACHE.get(key)
+    if cached is not None and cached["F_DOCENTETE"].sparkSession is spark:
+        return dict(cached)
+    _VIEW_CACHE[key] = _build_views(spark, sf_dir)
+    return dict(_VIEW_CACHE[key])
 
-    c = _read(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 9)
-    parties = _per_tenant(c).select(
-        "tenant_id", _code("C", F.col("c_custkey")).alias("CT_Num"), F.col("c_name").alias("CT_Intitule"))
-
-    p = _read(spark, sf_dir, "part")
-    items = _per_tenant(p.where(F.col("p_partkey") % 20 != 19)).select(
-        "tenant_id", _code("A", F.col("p_partkey")).alias("AR_Ref"), F.col("p_name").alias("AR_Design"),
-        F.when(F.col("p_partkey") % 11 == 0, _dec(F.lit(None), 12, 2))
-         .otherwise(_dec(F.col("p_retailprice"), 12, 2)).alias("AR_PrixAch"),
-        F.col("p_type").alias("FA_CodeFamille"))
-    families = _per_tenant(p.where(F.col("p_type") != "PROMO").select("p_type").distinct()).select(
-        "tenant_id", F.col("p_type").alias("FA_CodeFamille"),
-        F.concat(F.lit("Famille "), F.lower(F.col("p_type"))).alias("FA_Intitule"))
-    pk = F.col("p_partkey")
-    stock = _per_tenant(p).select(
-        "tenant_id", _code("A", pk).alias("AR_Ref"),
-        _dec(F.when(pk % 7 == 0, F.lit(0)).when(pk % 13 == 0, F.lit(None)).otherwise(F.col("p_size") - 5),
-             12, 2).alias("AS_QteSto"),
-        _dec(F.col("p_size") * _dec(F.col("p_retailprice"), 12, 2), 18, 2).alias("AS_MontSto"))
-
-    e = _read(spark, sf_dir, "events")
-    ek = F.col("event_id")
-    third = F.floor(ek / 3).cast("bigint")
-    payments = e.select(
-        _tenant_of(ek).alias("tenant_id"),
-        ek.alias("RG_No"),
-        (F.col("ts") - F.expr("INTERVAL 8766 DAYS")).alias("RG_Date"),
-        F.when(ek % 17 == 0, F.lit(None).cast("string")).otherwise(_code("C", F.col("user_id"))).alias("CT_NumPayeur"),
-        F.col("event_type").alias("RG_Libelle"),
-        (ek % 2).cast("int").alias("RG_Type"),
-        _dec(_dec(F.col("value"), 12, 2) * F.when(F.col("user_id") % 5 == 0, 2000).otherwise(1), 14, 2)
-        .alias("RG_Montant"),
-        (third % 6).cast("int").alias("N_Reglement"),
-        (third % 7).cast("int").alias("CA_No"),
-    )
-
-    r = _read(spark, sf_dir, "region")
-    tills = _per_tenant(r).select("tenant_id", F.col("r_regionkey").cast("int").alias("CA_No"),
-                                  F.col("r_name").alias("CA_Intitule"))
 
-    return {"F_DOCENTETE": headers, "F_DOCLIGNE": lines, "F_COMPTET": parties, "F_ARTICLE": items,
-            "F_FAMILLE": families, "F_ARTSTOCK": stock, "F_CREGLEMENT": payments, "F_CAISSE": tills}
+def _build_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    out = {name: _view(spark, sf_dir, name) for name in VIEWS}
+    out["F_FAMILLE"] = (_read(spark, sf_dir, "part").where("p_type <> 'PROMO'").select("p_type").distinct()
+                        .selectExpr(_TENANTS, "p_type AS FA_CodeFamille",
+                                    "concat('Famille ', lower(p_type)) AS FA_Intitule"))
+    order = ["F_DOCENTETE", "F_DOCLIGNE", "F_COMPTET", "F_ARTICLE", "F_FAMILLE", "F_ARTSTOCK", "F_CREGLEMENT",
+             "F_CAISSE"]
+    return {k: out[k] for k in order}
 
 
 def settings_fixture(spark: SparkSession) -> DataFrame:
@@ -136,19 +143,15 @@ def tenants_of(replica: dict[str, DataFrame]) -> DataFrame:
 
 def run_log_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report outcomes: 15 per tenant and cycle, from the events table."""
-    e = _read(spark, sf_dir, "events")
-    ek = F.col("event_id")
-    module_no = (F.floor(ek / 3).cast("bigint") % len(MODULE_KEYS)).cast("int")
-    return e.select(
-        _tenant_of(ek).alias("tenant_id"),
-        F.floor(ek / 45).cast("bigint").alias("cycle_no"),
-        module_no.alias("module_no"),
-        F.when(F.col("event_type") == "error",
-               F.concat(F.lit("m"), module_no.cast("string"), F.lit(": "),
-                        F.repeat(F.lit("x"), (ek % 200).cast("int")))).alias("error"),
-        F.floor(F.col("value") * 10).cast("int").alias("elapsed_ms"),
-        F.col("ts").alias("logged_at"),
-    )
+    module_no = f"CAST(CAST(FLOOR(event_id / 3) AS BIGINT) % {len(MODULE_KEYS)} AS INT)"
+    return _read(spark, sf_dir, "events").selectExpr(
+        _tenant("event_id"),
+        "CAST(FLOOR(event_id / 45) AS BIGINT) AS cycle_no",
+        f"{module_no} AS module_no",
+        f"CASE WHEN event_type = 'error' THEN concat('m', CAST({module_no} AS STRING), ': ',"
+        " repeat('x', CAST(event_id % 200 AS INT))) END AS error",
+        "CAST(FLOOR(value * 10) AS INT) AS elapsed_ms",
+        "ts AS logged_at")
 
 
 def cycles_from_run_log(run_log: DataFrame) -> DataFrame:
