@@ -36,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Independent report jobs of a refresh cycle share the executors fairly.
+        "spark.scheduler.mode": "FAIR",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
