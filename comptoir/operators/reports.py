@@ -29,9 +29,14 @@ def _dec(c: Column | str, p: int, s: int) -> Column:
     return c.cast(f"decimal({p},{s})")
 
 
+def _six(x: Column) -> Column:
+    """A ratio rounded to 6 decimals, as DECIMAL(38,6) (the scale of a decimal mean)."""
+    return F.round(x, 6).cast("decimal(38,6)")
+
+
 def _avg6(total: Column, n: Column) -> Column:
-    """Mean as double, rounded to 6 decimals (total is exact decimal)."""
-    return F.round(total.cast("double") / n.cast("double"), 6)
+    """Mean of an exact decimal total over ``n`` rows, to 6 decimals."""
+    return _six(total.cast("double") / n.cast("double"))
 
 
 def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str) -> DataFrame:
@@ -200,7 +205,7 @@ def marge_brute(base: Base, n: int = 20) -> DataFrame:
     cost_sum = F.coalesce(F.col("AR_PrixAch"), F.lit(0)) * F.col("n_lines")
     price = F.col("price_sum").cast("double") / F.col("price_n").cast("double")
     cost = cost_sum.cast("double") / F.col("n_lines").cast("double")
-    s = s.select("*", F.round(price, 6).alias("p"), F.round(cost, 6).alias("c"), F.round(price - cost, 6).alias("m"))
+    s = s.select("*", _six(price).alias("p"), _six(cost).alias("c"), _six(price - cost).alias("m"))
     t = top_n(s, [F.col("m").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
     return t.select(
         "tenant_id",

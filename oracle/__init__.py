@@ -26,7 +26,8 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     "top_articles": ["QuantiteVendue", "MontantVendu"],
     "top_clients": ["CA_Total"],
     "evolution_ca": ["CA_Jour", "Encaisse_Jour"],
-    "rotation": ["QuantiteVendue"],
+    "rotation": ["QuantiteVendue", "PrixMoyen"],
+    "marge_brute": ["PrixVenteMoyen", "PrixAchatMoyen", "MargeUnitaire"],
     "mode_reglement": ["TotalRegle"],
     "mouvements": ["Quantite", "Montant"],
     "dernieres_transac": ["Montant"],

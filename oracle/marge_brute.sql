@@ -2,10 +2,10 @@ SELECT tenant_id, CodeArticle, Libelle, PrixVenteMoyen, PrixAchatMoyen, MargeUni
   SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY MargeUnitaire DESC NULLS LAST, CodeArticle ASC NULLS FIRST) AS rn
   FROM (
     SELECT L.tenant_id, L.AR_Ref AS CodeArticle, MAX(coalesce(A.AR_Design, L.DL_Design)) AS Libelle,
-      ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire), 6) AS PrixVenteMoyen,
-      ROUND(CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS PrixAchatMoyen,
-      ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire)
-            - CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS MargeUnitaire
+      CAST(ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire), 6) AS DECIMAL(38,6)) AS PrixVenteMoyen,
+      CAST(ROUND(CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen,
+      CAST(ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire)
+            - CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS MargeUnitaire
     FROM F_DOCLIGNE L
     JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type
     LEFT JOIN F_ARTICLE A ON L.tenant_id = A.tenant_id AND L.AR_Ref = A.AR_Ref

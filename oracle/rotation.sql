@@ -1,7 +1,7 @@
 SELECT tenant_id, CodeArticle, Libelle, QuantiteVendue, PrixMoyen FROM (
   SELECT L.tenant_id, L.AR_Ref AS CodeArticle, MAX(coalesce(A.AR_Design, L.DL_Design)) AS Libelle,
     CAST(SUM(L.DL_Qte) AS DECIMAL(22,2)) AS QuantiteVendue,
-    ROUND(CAST(SUM(L.DL_MontantTTC) AS DOUBLE) / CAST(NULLIF(SUM(L.DL_Qte), 0) AS DOUBLE), 6) AS PrixMoyen,
+    CAST(ROUND(CAST(SUM(L.DL_MontantTTC) AS DOUBLE) / CAST(NULLIF(SUM(L.DL_Qte), 0) AS DOUBLE), 6) AS DECIMAL(38,6)) AS PrixMoyen,
     ROW_NUMBER() OVER (PARTITION BY L.tenant_id ORDER BY SUM(L.DL_Qte) DESC NULLS LAST, L.AR_Ref ASC NULLS FIRST) AS rn
   FROM F_DOCLIGNE L
   JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type

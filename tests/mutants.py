@@ -20,8 +20,8 @@ MUTANTS = {
                                    "GROUP BY ALL) R ON C.tenant_id = R.tenant_id AND C.CT_Num = R.CT_NumPayeur"),
     "on_to_where": ("solde_client", "AND C.CT_Num = E.DO_Tiers AND E.DO_Type = 7\n",
                     "AND C.CT_Num = E.DO_Tiers\n"),
-    "null_cost_skipped": ("marge_brute", "SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS PrixAchatMoyen",
-                          "SUM(A.AR_PrixAch) AS DOUBLE) / COUNT(A.AR_PrixAch), 6) AS PrixAchatMoyen"),
+    "null_cost_skipped": ("marge_brute", "SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen",
+                          "SUM(A.AR_PrixAch) AS DOUBLE) / COUNT(A.AR_PrixAch), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen"),
     "item_code_grouping": ("ca_famille", "GROUP BY L.tenant_id, FA.FA_CodeFamille, FA.FA_Intitule",
                            "GROUP BY L.tenant_id, L.AR_Ref, FA.FA_CodeFamille, FA.FA_Intitule"),
     "having_removed": ("solde_client", "HAVING coalesce(SUM(L.DL_MontantTTC), 0) - coalesce(SUM(R.RG_Montant), 0) <> 0", ""),
