@@ -24,6 +24,10 @@ from comptoir.functions.topn import RANK, top_n
 from comptoir.plans.base import SALES_TYPES, Base
 
 
+# Most top-N keys (n x tenants) broadcast to cut a dimension table before a name join.
+BROADCAST_KEYS = 200_000
+
+
 def _dec(c: Column | str, p: int, s: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast(f"decimal({p},{s})")
@@ -39,9 +43,24 @@ def _avg6(total: Column, n: Column) -> Column:
     return _six(total.cast("double") / n.cast("double"))
 
 
-def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str) -> DataFrame:
-    """Left-join the party name on ``key`` and apply the report's fallback."""
-    return (df.join(base.party_names(key), ["tenant_id", key], "left")
+def _cut_to(dim: DataFrame, df: DataFrame, keys: list[str], n: int, base: Base) -> DataFrame:
+    """The rows of dimension ``dim`` whose ``keys`` occur in ``df``, a top-N result (at most ``n`` rows per tenant).
+
+    When the number of tenants is known and ``n`` times it stays within
+    ``BROADCAST_KEYS``, the keys are broadcast and ``dim`` is only scanned,
+    never shuffled; beyond that Spark (AQE) picks the join at run time.
+    """
+    wanted = df.select(*keys).distinct()
+    if base.tenant_count is not None and n * base.tenant_count <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    return dim.join(wanted, keys, "left_semi")
+
+
+def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str, n: int) -> DataFrame:
+    """Left-join the party name on ``key`` to a top-N result and apply the report's fallback."""
+    keys = ["tenant_id", key]
+    names = _cut_to(base.party_names(key), df, keys, n, base)
+    return (df.join(names, keys, "left")
             .withColumn(alias, F.coalesce(F.col("CT_Intitule"), F.lit(fallback))))
 
 
@@ -50,7 +69,7 @@ def sales(base: Base, n: int = 200) -> DataFrame:
     """Latest sales documents (invoices and credit notes) with their total."""
     d = top_n(base.docs(SALES_TYPES),
               [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").desc_nulls_last(), F.col("DO_Type")], n)
-    d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_CUSTOMER, "NomClient")
+    d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_CUSTOMER, "NomClient", n)
     return d.select(
         "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),
@@ -67,7 +86,7 @@ def achats(base: Base, n: int = 100) -> DataFrame:
     """Latest purchase invoices with their total."""
     d = top_n(base.docs([LB.PURCHASE_INVOICE]),
               [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").desc_nulls_last()], n)
-    d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_SUPPLIER, "NomFournisseur")
+    d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_SUPPLIER, "NomFournisseur", n)
     return d.select(
         "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),
@@ -83,7 +102,7 @@ def achats(base: Base, n: int = 100) -> DataFrame:
 def caisse(base: Base, n: int = 200) -> DataFrame:
     """Latest payments, split into cash in and cash out, with till and mode."""
     p = top_n(base.payments(), [F.col("RG_No").desc_nulls_last()], n)
-    p = _with_name(p, base, "CT_NumPayeur", LB.UNKNOWN_PAYER, "NOM_TIERS")
+    p = _with_name(p, base, "CT_NumPayeur", LB.UNKNOWN_PAYER, "NOM_TIERS", n)
     tills = base.table("F_CAISSE").select("tenant_id", "CA_No", "CA_Intitule")
     p = p.join(tills, ["tenant_id", "CA_No"], "left")
     amount = F.col("RG_Montant")
@@ -139,7 +158,7 @@ def top_clients(base: Base, n: int = 20) -> DataFrame:
     per_party = (per_piece.groupBy("tenant_id", "DO_Tiers")
                  .agg(F.sum("amount").alias("amount"), F.count("DO_Piece").alias("n_pieces")))
     t = top_n(per_party, [F.col("amount").desc_nulls_last(), F.col("DO_Tiers").asc_nulls_first()], n)
-    t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient")
+    t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient", n)
     return t.select(
         "tenant_id",
         F.col("DO_Tiers").alias("CodeClient"),
@@ -172,7 +191,8 @@ def rotation(base: Base, n: int = 20) -> DataFrame:
     """Items with the highest quantity sold, with the mean price per unit."""
     s = base.item_sales().where(F.col("AR_Ref").isNotNull())
     t = top_n(s, [F.col("qty").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
-    t = t.join(base.items().select("tenant_id", "AR_Ref", "AR_Design"), ["tenant_id", "AR_Ref"], "left")
+    keys = ["tenant_id", "AR_Ref"]
+    t = t.join(_cut_to(base.items().select(*keys, "AR_Design"), t, keys, n, base), keys, "left")
     return t.select(
         "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),
@@ -288,7 +308,7 @@ def impayees(base: Base, n: int = 50) -> DataFrame:
     x = x.select("tenant_id", "DO_Piece", "DO_Date", "DO_Tiers", billed.alias("billed"), paid.alias("paid"))
     x = x.withColumn("balance", _dec(F.col("billed") - F.col("paid"), 18, 2)).where(F.col("balance") > 0)
     t = top_n(x, [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").asc_nulls_first()], n)
-    t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient")
+    t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient", n)
     return t.select(
         "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),

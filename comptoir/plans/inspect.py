@@ -47,3 +47,30 @@ def count(df: DataFrame, operator: str) -> int:
     """Occurrences of a physical operator in the plan tree."""
     tree = plan_text(df).split("\n\n")[0]
     return len(re.findall(rf"\b{re.escape(operator)}\b", tree))
+
+
+def _indent(line: str) -> int:
+    m = re.search(r"[A-Za-z*]", line)
+    return m.start() if m else len(line)
+
+
+def path_to_root(df: DataFrame, scan_of: str) -> list[str]:
+    """Operators from the scan of ``scan_of`` (a path fragment) up to the root, in the simple plan tree."""
+    lines = [l for l in plan_text(df, "simple").split("== Physical Plan ==")[-1].splitlines() if l.strip()]
+    idx = next(i for i, l in enumerate(lines) if "FileScan" in l and scan_of in l)
+    path, level = [lines[idx]], _indent(lines[idx])
+    for l in reversed(lines[:idx]):
+        if _indent(l) < level:
+            path.append(l)
+            level = _indent(l)
+    return [re.sub(r"^[\s:+-]*(\*\(\d+\) )?", "", l) for l in path]
+
+
+def shuffled_before_join(df: DataFrame, scan_of: str) -> bool:
+    """Whether the rows of that scan go through an Exchange before they meet their first join."""
+    for op in path_to_root(df, scan_of)[1:]:
+        if op.startswith("Exchange"):
+            return True
+        if "Join" in op.split(" ")[0]:
+            return False
+    return False
