@@ -73,3 +73,14 @@ def test_stream_equals_batch(spark, scratch):
         assert exp.exceptAll(got.select(*cols)).count() == 0, key
     log, cycles = read_run_log(spark, out)
     assert sorted(r.cycle_no for r in cycles.select("cycle_no").distinct().collect()) == [0, 1]
+
+
+def test_cycle_refuses_a_replica_that_breaks_the_key_contract(spark, scratch):
+    from handmade import ROWS
+    rows = dict(ROWS)
+    rows["F_COMPTET"] = ROWS["F_COMPTET"] + [("A", "C1", "Alpha bis")]
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    res = refresh_cycle(spark, replica(spark, rows), f"{scratch}/out", 3, settings, check_contract=True)
+    assert res.outcomes == [] and "F_COMPTET" in res.cycle_error
+    log, cycles = read_run_log(spark, f"{scratch}/out")
+    assert {r.cycle_error for r in cycles.collect()} == {res.cycle_error}
