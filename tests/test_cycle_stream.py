@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from comptoir.functions.labels import MODULE_KEYS, TARGET_TABLE
 from comptoir.operators.reports import REPORTS, report
