@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-
 from comptoir.functions.labels import MODULE_KEYS, TARGET_TABLE
 from comptoir.operators.reports import REPORTS, report
 from comptoir.plans.base import Base
@@ -15,12 +14,6 @@ from conftest import SF_SMALL
 from handmade import replica
 
 
-def rows_of(spark, out, key):
-    df = spark.read.parquet(f"{out}/{TARGET_TABLE[key]}/rows")
-    cols = [c for c in report(key, Base(replica(spark))).columns]
-    return df.select(*cols)
-
-
 def test_refresh_cycle(spark, scratch):
     rep_path, out, reg_path = f"{scratch}/replica", f"{scratch}/out", f"{scratch}/registry"
     write_replica(replica(spark), rep_path)
