@@ -6,7 +6,7 @@ with ``tenant_id`` spread over three tenants. Each shared dimension (parties,
 items, families, stock, tills) is copied once per tenant by exploding a
 three-element array, which keeps the plan a narrow projection (no join).
 
-The same definitions, written in SQL, prefix every oracle query (``oracle/``).
+The same definitions, written in SQL, prefix every oracle query (``comptoir_oracle/``).
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 import pytest
 
-import oracle
+import comptoir_oracle as oracle
 from comptoir.api import QUERIES
 from helpers import duck, duck_rows, spark_rows
 from mutants import MUTANTS

@@ -40,10 +40,10 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", 2 * cpus, app_name="plain-sql-probe")
     for name, df in replica_from_testdata(spark, sf_dir).items():
         df.createOrReplaceTempView(name)
-    spark.sql(to_spark_sql((ROOT / "oracle" / "mode_reglement.sql").read_text())).collect()  # warm-up
+    spark.sql(to_spark_sql((ROOT / "comptoir_oracle" / "mode_reglement.sql").read_text())).collect()  # warm-up
     times = {}
     for key in REPORTS:
-        sql = to_spark_sql((ROOT / "oracle" / f"{key}.sql").read_text())
+        sql = to_spark_sql((ROOT / "comptoir_oracle" / f"{key}.sql").read_text())
         t0 = time.perf_counter()
         spark.sql(sql).collect()
         times[key] = round(time.perf_counter() - t0, 3)
