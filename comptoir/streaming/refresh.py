@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from comptoir.functions.labels import MODULE_KEYS
 from comptoir.plans.cycle import refresh_cycle
-from comptoir.session import scratch_path
+from comptoir.session import ensure_checkpoint_dir, scratch_path
 from comptoir.sources.replica import load_replica
 
 CHANGES_SCHEMA = T.StructType([
@@ -40,6 +40,7 @@ def refresh_stream(spark: SparkSession, changes_path: str, replica_path: str, ou
                    checkpoint: str | None = None, registry_path: str | None = None,
                    modules: list[str] = MODULE_KEYS, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the refresh query; ``available_now`` processes what has landed and stops (tests, catch-up)."""
+    ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(CHANGES_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
