@@ -48,12 +48,13 @@ def _cut_to(dim: DataFrame, df: DataFrame, keys: list[str], n: int, base: Base)
 
     When the number of tenants is known and ``n`` times it stays within
     ``BROADCAST_KEYS``, the keys are broadcast and ``dim`` is only scanned,
-    never shuffled; beyond that Spark (AQE) picks the join at run time.
+    never shuffled. Otherwise ``dim`` is returned whole and the name join is a
+    plain left join that Spark (AQE) plans at run time: an unbroadcast cut
+    would cost more stages than it saves.
     """
-    wanted = df.select(*keys).distinct()
-    if base.tenant_count is not None and n * base.tenant_count <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    return dim.join(wanted, keys, "left_semi")
+    if base.tenant_count is None or n * base.tenant_count > BROADCAST_KEYS:
+        return dim
+    return dim.join(F.broadcast(df.select(*keys).distinct()), keys, "left_semi")
 
 
 def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str, n: int) -> DataFrame:
