@@ -1,6 +1,7 @@
 """Command line: one refresh cycle, the continuous refresh, one report, or health from the run log.
 
   python -m comptoir cycle  --replica PATH --out PATH [--settings PATH] [--registry PATH] [--cycle-no N]
+                            [--parallel-reports N] [--check-contract]
   python -m comptoir stream --changes PATH --replica PATH --out PATH [--settings PATH] [--interval "60 seconds"]
                             [--available-now] [--registry PATH]
   python -m comptoir report NAME --replica PATH [--rows N]
@@ -36,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--registry")
     c.add_argument("--cycle-no", type=int, default=0)
     c.add_argument("--parallel-reports", type=int, default=4)
+    c.add_argument("--check-contract", action="store_true", help="fail the cycle on duplicate replica keys")
     s = sub.add_parser("stream")
     s.add_argument("--changes", required=True)
     s.add_argument("--replica", required=True)
@@ -61,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         from comptoir.sources.replica import load_replica
 
         res = refresh_cycle(spark, load_replica(spark, a.replica), a.out, a.cycle_no, _settings(spark, a.settings),
-                            registry_path=a.registry, parallel_reports=a.parallel_reports)
+                            registry_path=a.registry, parallel_reports=a.parallel_reports,
+                            check_contract=a.check_contract)
         for key, _, err, ms in res.outcomes:
             print(f"{key:20s} {ms:7d} ms  {'ok' if err is None else err}")
         print(f"cycle {res.cycle_no}: {res.duration_ms} ms" + (f", failed: {res.cycle_error}" if res.cycle_error else ""))
