@@ -5,6 +5,7 @@ import datetime as dt
 from comptoir.functions.labels import MODULE_KEYS, TARGET_TABLE
 from comptoir.operators.reports import REPORTS, report
 from comptoir.plans.base import Base
+from comptoir.operators.registry import read_registry, write_registry
 from comptoir.plans.cycle import read_run_log, refresh_cycle
 from comptoir.schemas import REGISTRY_SCHEMA
 from comptoir.sources.fixtures import replica_from_testdata, settings_fixture
@@ -17,8 +18,9 @@ from handmade import replica
 def test_refresh_cycle(spark, scratch):
     rep_path, out, reg_path = f"{scratch}/replica", f"{scratch}/out", f"{scratch}/registry"
     write_replica(replica(spark), rep_path)
-    spark.createDataFrame([("A", "hw", "active", dt.datetime(2024, 1, 1), 5, "old")], REGISTRY_SCHEMA) \
-        .write.parquet(reg_path)
+    write_registry(spark.createDataFrame([("A", "hw", "active", dt.datetime(2024, 1, 1), 5, "old"),
+                                          ("Z", "hz", "active", dt.datetime(2024, 1, 1), 7, "keep")],
+                                         REGISTRY_SCHEMA), reg_path)
     settings = spark.createDataFrame([("B", "sales", False)], "tenant_id string, module_key string, is_enabled boolean")
     res = refresh_cycle(spark, load_replica(spark, rep_path), out, 7, settings, registry_path=reg_path)
     assert res.cycle_error is None and [o[0] for o in res.outcomes] == MODULE_KEYS
@@ -27,8 +29,10 @@ def test_refresh_cycle(spark, scratch):
     assert [r.tenant_id for r in sales.collect()] == ["A"]  # sales is off for B
     log, cycles = read_run_log(spark, out)
     assert log.count() == 15 + 14 and cycles.count() == 2
-    reg = spark.read.parquet(reg_path).collect()
-    assert len(reg) == 1 and reg[0].status == "active" and reg[0].last_sync_error is None
+    reg = {r.tenant_id: r for r in read_registry(spark, reg_path).collect()}
+    assert set(reg) == {"A", "Z"}  # B has no registry row: a heartbeat is an update, not an insert
+    assert reg["A"].status == "active" and reg["A"].last_sync_error is None
+    assert reg["Z"].last_sync_error == "keep"  # a tenant outside the cycle is not rewritten
 
 
 def test_stream_equals_batch(spark, scratch):
