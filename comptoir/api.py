@@ -17,8 +17,9 @@ from comptoir.functions.publish import published
 from comptoir.operators.gate import module_gate
 from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_health
 from comptoir.operators.registry import upsert_registry
-from comptoir.operators.reports import REPORTS, report
+from comptoir.operators.reports import REPORTS, ordered_report, report
 from comptoir.plans.base import Base
+from comptoir.sinks.snapshot import snapshot_payload
 from comptoir.sources import fixtures as fx
 
 
@@ -31,6 +32,12 @@ def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync_health(log, fx.cycles_from_run_log(log))
 
 
+def q_snapshot_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 on the sales report: one JSON array per tenant, in report order."""
+    base = Base(fx.replica_from_testdata(spark, sf_dir))
+    return snapshot_payload(ordered_report("sales", base), REPORTS["sales"]).select("tenant_id", "part", "data")
+
+
 def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = fx.replica_from_testdata(spark, sf_dir)
     return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
@@ -56,6 +63,7 @@ def q_registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{key: partial(_report_query, key) for key in REPORTS},
+    "snapshot_payload": q_snapshot_payload,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,
     "retry_schedule": q_retry_schedule,
