@@ -39,6 +39,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Remove checkpoint() files once nothing references them (a refresh runs indefinitely).
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Independent report jobs of a refresh cycle share the executors fairly.
         "spark.scheduler.mode": "FAIR",
     }

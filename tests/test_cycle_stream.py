@@ -80,3 +80,16 @@ def test_cycle_refuses_a_replica_that_breaks_the_key_contract(spark, scratch):
     assert res.outcomes == [] and "F_COMPTET" in res.cycle_error
     log, cycles = read_run_log(spark, f"{scratch}/out")
     assert {r.cycle_error for r in cycles.collect()} == {res.cycle_error}
+
+
+def test_cycles_reuse_two_base_slots(spark, scratch):
+    import glob
+    from comptoir.plans.cycle import base_slot
+
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    rep = replica(spark)
+    for cycle_no in range(3):
+        res = refresh_cycle(spark, rep, f"{scratch}/out", cycle_no, settings, parallel_reports=8)
+        assert res.cycle_error is None and all(o[2] is None for o in res.outcomes)
+    slots = glob.glob(base_slot(spark, f"{scratch}/out", 0).rsplit("/", 1)[0] + "/*")
+    assert sorted(p.rsplit("/", 1)[1] for p in slots) == ["slot-0", "slot-1"]
