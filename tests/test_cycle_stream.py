@@ -93,3 +93,15 @@ def test_cycles_reuse_two_base_slots(spark, scratch):
         assert res.cycle_error is None and all(o[2] is None for o in res.outcomes)
     slots = glob.glob(base_slot(spark, f"{scratch}/out", 0).rsplit("/", 1)[0] + "/*")
     assert sorted(p.rsplit("/", 1)[1] for p in slots) == ["slot-0", "slot-1"]
+
+
+def test_run_log_reads_prune_to_one_day(spark, scratch):
+    from comptoir.plans.inspect import scans
+
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    refresh_cycle(spark, replica(spark), f"{scratch}/out", 0, settings, modules=["stock"])
+    log, cycles = read_run_log(spark, f"{scratch}/out", day=dt.date.today())
+    assert log.count() == 2 and cycles.count() == 2
+    assert {r.module_no for r in log.collect()} == {MODULE_KEYS.index("stock")}
+    for df in (log, cycles):
+        assert all("day" in d.get("PartitionFilters", "") for d in scans(df))
