@@ -105,3 +105,19 @@ def test_run_log_reads_prune_to_one_day(spark, scratch):
     assert {r.module_no for r in log.collect()} == {MODULE_KEYS.index("stock")}
     for df in (log, cycles):
         assert all("day" in d.get("PartitionFilters", "") for d in scans(df))
+
+
+def test_compact_run_log_keeps_rows_and_cuts_files(spark, scratch):
+    import glob
+    from comptoir.plans.cycle import compact_run_log
+
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    for cycle_no in range(3):
+        refresh_cycle(spark, replica(spark), f"{scratch}/out", cycle_no, settings, modules=["stock", "caisse"])
+    today = dt.date.today()
+    before = sorted(tuple(r) for r in read_run_log(spark, f"{scratch}/out", day=today)[0].collect())
+    compact_run_log(spark, f"{scratch}/out", today, files_per_day=1)
+    after = sorted(tuple(r) for r in read_run_log(spark, f"{scratch}/out", day=today)[0].collect())
+    assert after == before and len(before) == 3 * 2 * 2
+    files = glob.glob(f"{scratch}/out/_refresh/run_log/day={today}/*.parquet")
+    assert len(files) == 1
