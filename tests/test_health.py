@@ -103,3 +103,18 @@ def test_module_gate(spark):
     assert not g[("A", "stock")] and g[("B", "stock")] and g[("C", "sales")]
     rows = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "tenant_id string, x int")
     assert sorted(r.tenant_id for r in gated(rows, module_gate(tenants, settings), "sales").collect()) == ["A", "C"]
+
+
+def test_registry_storage_replaces_only_written_tenants(spark, scratch):
+    from comptoir.operators.registry import read_registry, write_registry
+
+    reg = spark.createDataFrame([("A", "hw1", "active", T, 100, None), ("B", "hw2", "active", T, 200, "e")],
+                                REGISTRY_SCHEMA)
+    write_registry(reg, scratch)
+    upd = spark.createDataFrame([("C", "hw3", "active", at(1))],
+                                "tenant_id string, hw_id string, status string, updated_at timestamp_ntz")
+    new_rows = upsert_registry(read_registry(spark, scratch), upd).where("tenant_id = 'C'").checkpoint()
+    write_registry(new_rows, scratch)
+    got = {r.tenant_id: r for r in read_registry(spark, scratch).collect()}
+    assert set(got) == {"A", "B", "C"}
+    assert got["B"].last_sync_error == "e" and got["C"].hw_id == "hw3" and got["C"].last_sync_duration_ms is None
