@@ -121,3 +121,17 @@ def test_compact_run_log_keeps_rows_and_cuts_files(spark, scratch):
     assert after == before and len(before) == 3 * 2 * 2
     files = glob.glob(f"{scratch}/out/_refresh/run_log/day={today}/*.parquet")
     assert len(files) == 1
+
+
+def test_stream_one_file_per_batch(spark, scratch):
+    rep_path, out, changes = f"{scratch}/replica", f"{scratch}/out", f"{scratch}/changes"
+    write_replica(replica(spark), rep_path)
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    for tenant in ("A", "B"):
+        spark.createDataFrame([(tenant, "F_DOCLIGNE", dt.datetime(2024, 1, 1))], CHANGES_SCHEMA) \
+            .coalesce(1).write.mode("append").parquet(changes)
+    q = refresh_stream(spark, changes, rep_path, out, settings, available_now=True,
+                       checkpoint=f"{scratch}/ckpt", modules=["stock"], max_files_per_trigger=1)
+    q.awaitTermination()
+    log, cycles = read_run_log(spark, out)
+    assert sorted((r.cycle_no, r.tenant_id) for r in cycles.collect()) == [(0, "A"), (1, "B")]
