@@ -17,11 +17,11 @@ tokens are tested.
 Text is first cut by the tokenizer's pattern. Long texts are cut into slices at
 a blank between two non-blanks, where the pattern always starts a new match.
 Output of whole short pieces is remembered too. All remembered tables have a
-bound; when one is full it is emptied, which changes no output.
+bound; when one is full, older entries go, which changes no output.
 
-**Decoding.** :class:`Utf8Stream` takes token after token. Its state is the
+**Decoding.** :class:`Utf8Stream` takes the tokens in chunks of any size. Its state is the
 unfinished character at the end (at most three bytes); the transition by a
-token gives the text that is now complete and the next state.
+chunk gives the text that is now complete and the next state.
 
 Defined results: a null or empty text has no tokens and empty output. Special
 tokens' strings are ordinary text. Columns beside ``text`` are kept, but for
@@ -34,6 +34,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +45,8 @@ from comptoir.llm.common import batch_of, carried, small_batches
 SLICE = 1 << 18  # characters of a text that are cut into pieces at a time
 SHORT = 48  # bytes of a piece whose output is remembered
 LOOK_AHEAD = 256  # bytes held back before tokens are emitted
-MOST_PIECES = 400_000
-MOST_TRANSITIONS = 250_000
+MOST_PIECES = 500_000  # in each of two generations
+MOST_TRANSITIONS = 400_000
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -243,31 +244,34 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(ranks)
         self.known: dict[str, tuple[list[int], str]] = {}
+        self.older: dict[str, tuple[list[int], str]] = {}  # the generation before, for pieces that come back
 
     def pieces(self, text: str) -> Iterator[list[tuple[list[int], str]]]:
         """(ids, ids in decimal with commas) by piece, a list for each slice."""
-        known, encode = self.known, self.machine.encode
+        encode = self.machine.encode
         for part in slices(text):
-            out = []
+            out, known = [], self.known
             for piece in self.find(part):
                 made = known.get(piece)
                 if made is None:
-                    ids = encode(piece.encode())
-                    made = ids, ",".join(map(str, ids))
+                    made = self.older.get(piece)
+                    if made is None:
+                        ids = encode(piece.encode())
+                        made = ids, ",".join(map(str, ids))
                     if len(piece) <= SHORT:
                         if len(known) >= MOST_PIECES:
-                            known.clear()
+                            self.older, self.known = known, {}
+                            known = self.known
                         known[piece] = made
                 out.append(made)
             yield out
 
 
 class Utf8Stream:
-    """Token ids to text, token by token. ``state`` holds the bytes of an unfinished character."""
+    """Token ids to text, chunk by chunk. ``state`` holds the bytes of an unfinished character."""
 
     def __init__(self, bytes_of: dict[int, bytes]):
-        self.bytes_of = bytes_of
-        self.step: dict[tuple[bytes, int], tuple[str, bytes]] = {}
+        self.get = bytes_of.__getitem__
         self.state = b""
 
     @staticmethod
@@ -282,21 +286,10 @@ class Utf8Stream:
 
     def feed(self, ids) -> str:
         """The text completed by these tokens."""
-        out, state, step = [], self.state, self.step
-        for i in ids:
-            move = step.get((state, i))
-            if move is None:
-                data = state + self.bytes_of[i]
-                keep = self.unfinished(data)
-                done = data[:len(data) - keep] if keep else data
-                move = done.decode("utf-8", "replace"), data[len(done):]
-                if len(step) >= MOST_TRANSITIONS:
-                    step.clear()
-                step[state, i] = move
-            out.append(move[0])
-            state = move[1]
-        self.state = state
-        return "".join(out)
+        data = self.state + b"".join(map(self.get, ids))
+        done = len(data) - self.unfinished(data)
+        self.state = data[done:]
+        return data[:done].decode("utf-8", "replace")
 
     def end(self) -> str:
         """What is left of an unfinished character, and back to the start."""
@@ -325,9 +318,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
             for text in b.column("__text").to_pylist():
                 n, ids_sha, text_sha, ids = 0, hashlib.sha256(), hashlib.sha256(), []
                 for found in encoder.pieces(text or ""):
-                    flat = list(chain.from_iterable(ids for ids, _ in found))
+                    flat = list(chain.from_iterable(map(itemgetter(0), found)))
                     if flat:
-                        ids_sha.update(("," * (n > 0) + ",".join(digits for _, digits in found)).encode())
+                        ids_sha.update(("," * (n > 0) + ",".join(map(itemgetter(1), found))).encode())
                         n += len(flat)
                     text_sha.update(stream.feed(flat).encode())
                     if with_ids:
