@@ -74,9 +74,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
 
     schema = f"doc_id {kind}, th bigint, key binary, lines array<int>"
     suspected = stage(rows.mapInArrow(suspects, schema), "suspected_lines")
-    repeats = (suspected.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
-               .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
-               .where(F.col("n") >= min_docs))
+    # Staged, so that the join below shuffles both sides and Spark can split a hot key.
+    repeats = stage(suspected.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
+                    .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
+                    .where(F.col("n") >= min_docs), "repeated_keys")
     return (suspected.join(repeats, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines")))
 
