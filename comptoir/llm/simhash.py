@@ -148,6 +148,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
     member = classes.join(comps, F.col("fp") == F.col("node")).select("fp", "first_id", "root")
     best = member.groupBy("root").agg(F.min("first_id").alias("group_id"))
     linked = member.join(best, "root").select("fp", "group_id")
-    ids = (classes.join(linked, "fp", "left")
-           .select("fp", F.coalesce("group_id", "first_id").alias("component_id")))
+    # Staged, so that the last join shuffles both sides and Spark can split a hot fingerprint.
+    ids = stage(classes.join(linked, "fp", "left")
+                .select("fp", F.coalesce("group_id", "first_id").alias("component_id")), "component_ids")
     return fps.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
