@@ -1,0 +1,337 @@
+"""Every operator against a brute-force version on rows with the hard cases, and on an empty table."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from llm_rows import PASSAGE, ROWS, text
+
+from comptoir.llm import bpe, decontam, imatch, license_scan, line_dedup, quality, sharding, simhash, substring_dedup
+from comptoir.llm import url_filter
+from comptoir.llm.queries import tokenizer
+from comptoir.session import scratch_path
+
+BLANK = "[\x20\x09-\x0d]"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+NONE = -(1 << 63)
+
+
+def low(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s or "")
+
+
+def sha(b):
+    return hashlib.sha256(b).hexdigest()
+
+
+def rows_of(df, *cols):
+    return Counter(tuple(tuple(v) if isinstance(v, list) else v for v in (r[c] for c in cols)) for r in df.collect())
+
+
+def test_license_scan(docs, empty):
+    exp = Counter()
+    for i, t in ROWS:
+        w = WORD.findall(low(t))
+        at = [(k, p.label) for p in license_scan.PHRASES for k in range(len(w)) if w[k:k + len(p.parts)] == p.parts]
+        exp[i, len(w), len(at), min(at, default=(None,))[0], max(at, default=(None,))[0],
+            ",".join(sorted({x for _, x in at}))] += 1
+    out = license_scan.scan_licenses(docs)
+    assert rows_of(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == exp
+    assert license_scan.scan_licenses(empty).count() == 0
+
+
+def test_license_templates(spark):
+    ts = license_scan.TEMPLATES
+    texts = [(k, "filler words here " * (10 * k) + t.words.upper()) for k, t in enumerate(ts)]
+    texts.append((100, ts[0].words.replace("hereby", "x").replace("free", "y")))  # still over the threshold
+    texts.append((101, " ".join(ts[0].parts[:8])))  # under it
+    out = {r["doc_id"]: r for r in license_scan.scan_licenses(
+        spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert all(t.label in out[k]["labels"].split(",") and out[k]["score"] == 1.0 for k, t in enumerate(ts))
+    assert out[100]["labels"] == "mit" and 0.8 <= out[100]["score"] < 1 and out[101]["labels"] == ""
+
+
+def test_line_dedup(docs, empty):
+    hold = defaultdict(set)
+    key = lambda line: low(re.sub(f"^{BLANK}+|{BLANK}+$", "", line))
+    for i, t in ROWS:
+        for line in (t or "").split("\n"):
+            hold[key(line)].add(NONE if i is None else i)
+    exp = Counter()
+    for i, t in ROWS:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 20 or len(hold[key(x)]) < 3
+                or max(hold[key(x)]) == (NONE if i is None else i)]
+        exp[i, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
+    for words in (23, 8):  # a filter that is far too small changes nothing
+        out = line_dedup.dedup_lines(docs, log2_words=words)
+        assert rows_of(out, "doc_id", "n_lines", "n_dropped", "kept_text") == exp
+    assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def test_url_rules(spark):
+    urls = {"http://A.net/x?y": ("a.net", "/x", "net/", "block"), "http://net": ("net", "", None, None),
+            "https://m.Example.net/en/1#t": ("m.example.net", "/en/1", "example.net/en/", "allow"),
+            "http://example.com/de/": ("example.com", "/de/", "example.com/de/", "block"),
+            "http://x.org/fr/2": ("x.org", "/fr/2", "org/fr/", "allow"), "http://notexample.com/de/": None,
+            "x.net/y": ("", "", None, None), None: ("", "", None, None), "": ("", "", None, None)}
+    pages = spark.createDataFrame([(i, u, "h", "z") for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string, suffix string")
+    out = {r["page_id"]: r for r in url_filter.filter_urls(pages).collect()}
+    for i, exp in enumerate(urls.values()):
+        if exp:
+            assert (out[i]["host"], out[i]["path"], out[i]["rule"]) == exp[:3]
+            assert out[i]["verdict"] in ([exp[3]] if exp[3] else ["allow", "block"])
+    assert len(out) == len(urls) and out[5]["rule"] is None
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0
+
+
+def test_url_trees_held_out(spark):
+    """Trees trained on some ruled urls decide others as the rules do."""
+    r = random.Random(3)
+    urls = [(i, f"http://h{r.randint(0, 50)}.{r.choice(['net', 'org'])}/fr/{i}") for i in range(600)]
+    ruled = url_filter.with_rules(url_filter.parsed(spark.createDataFrame(urls, "page_id long, url string")))
+    known = url_filter.with_suffixes(url_filter.features(ruled.withColumn(
+        "rule_verdict", url_filter.F.when(url_filter.F.col("page_id") % 3 > 0, url_filter.F.col("rule_verdict")))))
+    out = url_filter.judge(known, url_filter.train(known)).where("page_id % 3 = 0").collect()
+    assert np.mean([(x["p_block"] >= 0.5) == x["host"].endswith("net") for x in out]) > 0.95
+
+
+def test_sharding(spark, docs, empty):
+    path = scratch_path(spark, "test-map")
+    out = sharding.shard_records(docs, 4, path).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in ROWS)
+    by = defaultdict(list)
+    for r in out:
+        by[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert sharding.shard_records(empty, 4, scratch_path(spark, "test-map")).count() == 0
+
+
+def test_sharding_map_grows_only_into_the_new_shard(spark):
+    path = scratch_path(spark, "test-map")
+    weights = spark.range(512).selectExpr("cast(id as int) as virtual_slot", "1000 + id * 37 % 101 as bytes")
+    sharding.save_map(sharding.first_map(weights, 7), path)
+    old = {r["virtual_slot"]: r for r in sharding.load_map(spark, path).collect()}
+    load = Counter()
+    for r in old.values():
+        load[r["shard"]] += r["bytes"]
+    assert max(load.values()) - min(load.values()) < 1200
+    sharding.save_map(sharding.grow_map(sharding.load_map(spark, path), weights, 8), path)
+    new = {r["virtual_slot"]: r for r in sharding.load_map(spark, path).collect()}
+    assert {new[s]["version"] for s in new} == {2} and len(new) == 512
+    assert {new[s]["shard"] for s in new if new[s]["shard"] != old[s]["shard"]} == {7}
+    assert sharding.load_map(spark, path, 1).count() == 512
+    total, moved = sum(r["bytes"] for r in new.values()), sum(r["bytes"] for r in new.values() if r["shard"] == 7)
+    assert 0.8 * total / 8 < moved <= 1.05 * total / 8
+
+
+def test_quality_held_out(spark, empty):
+    r = random.Random(5)
+    rows, marks = [], []
+    for i in range(400):
+        words = [r.choice("the of and to in is on as by at".split()) + str(r.randint(0, 30)) for _ in range(60)]
+        toxic, good = int(i % 5 == 0), int(i % 3 > 0)
+        if toxic:
+            words[10] = r.choice(["idiot", "moron"])
+        if not good:
+            words = [w + "!!" for w in words]
+        rows.append((i, " ".join(words)))
+        marks.append((i, good, toxic))
+    docs = spark.createDataFrame(rows + [(1000, None), (1001, "")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(marks + [(None, 1, 0), (5, None, 0), (9999, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    model = quality.train(docs, quality.grades(labels.where("doc_id % 4 > 0")))
+    assert model.thresholds[0] < model.thresholds[1]
+    out = {x["doc_id"]: x for x in quality.score(docs, model).collect()}
+    held = [m for m in marks if m[0] % 4 == 0]
+    assert np.mean([out[i]["keep"] == (good and not toxic) for i, good, toxic in held]) > 0.9
+    assert all(x["p_above_0"] >= x["p_above_1"] for x in out.values()) and len(out) == 402
+    assert quality.classify(empty, labels).count() == 0
+    assert quality.classify(docs, labels.limit(0)).where("not keep").count() == 0
+
+
+def test_quality_gradient():
+    r = np.random.default_rng(1)
+    places, values, rows = r.integers(0, 9, 40), r.random(40), np.sort(r.integers(0, 12, 40))
+    grade = r.integers(0, 3, 12)
+    at = lambda w, t: quality.gradient(places, values, rows, grade, quality.Model(w, t))
+    w, t = r.normal(size=9), np.array([-0.5, 0.7])
+    _, by_w, by_t = at(w, t)
+    for k in range(9):
+        d = np.eye(9)[k] * 1e-6
+        assert abs((at(w + d, t)[0] - at(w - d, t)[0]) / 2e-6 - by_w[k]) < 1e-4
+    for k in range(2):
+        d = np.eye(2)[k] * 1e-6
+        assert abs((at(w, t + d)[0] - at(w, t - d)[0]) / 2e-6 - by_t[k]) < 1e-4
+
+
+@pytest.mark.parametrize("options", [{}, {"block_phrases": 7, "shard_words": 23}])
+def test_decontamination(spark, docs, empty, options):
+    items = [(1, PASSAGE.upper()), (2, text(5, 12)), (3, "漢字3"), (4, None), (5, ""), (1, text(7, 30)), (None, text(8, 11)),
+             (12, "one")]
+    win = defaultdict(set)
+    for i, t in items:
+        w = WORD.findall(low(t))
+        k = min(len(w), 10)
+        for a in range(len(w) - k + 1) if w else ():
+            win[tuple(w[a:a + k])] |= {str(i)} if i is not None else set()
+    exp = Counter()
+    for i, t in ROWS:
+        w = WORD.findall(low(t))
+        hit, names = set(), set()
+        for n in {len(p) for p in win}:
+            for a in range(len(w) - n + 1):
+                if tuple(w[a:a + n]) in win:
+                    hit |= set(range(a, a + n))
+                    names |= win[tuple(w[a:a + n])]
+        exp[i, len(w), tuple(sorted(hit)), tuple(sorted(names))] += 1
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r["doc_id"], r["n_words"], tuple(x for a, e in zip(r["hit_starts"], r["hit_ends"]) for x in range(a, e)),
+                   tuple(r["hit_items"])) for r in decontam.find_hits(docs, bench, **options).collect())
+    assert got == exp
+    assert decontam.find_hits(empty, bench).count() == 0
+    assert decontam.find_hits(docs, bench.limit(0)).where("size(hit_starts) > 0").count() == 0
+
+
+def test_fm_index_counts_and_locates():
+    r = np.random.default_rng(2)
+    text = r.integers(0, 4, 300)
+    index = decontam.FMIndex(text)
+    whole = list(np.r_[text, 0] if text[-1] else text)
+    for n in (1, 2, 5):
+        phrases = np.array([p for p in np.ndindex(*[4] * n) if 0 not in p][:200])
+        first, last = index.search(phrases)
+        for p, a, e in zip(phrases, first, last):
+            exp = [i for i in range(len(whole)) if whole[i:i + n] == list(p)]
+            assert sorted(index.locate(np.arange(a, e)).tolist()) == exp
+
+
+def test_cut_spans():
+    assert decontam.cut_spans("One, two; THREE four.", [1], [3]) == "One,  four."
+
+
+@pytest.mark.parametrize("options", [{}, {"group_rows": 2, "batch_words": 300}])
+def test_substring_dedup(docs, empty, options):
+    n, first = 50, {}
+    ids = [(NONE if i is None else i, t) for i, t in ROWS]
+    for i, t in sorted(ids, key=lambda x: x[0]):
+        w = (t or "").encode().split()
+        for k in range(len(w) - n + 1):
+            first.setdefault(b" ".join(w[k:k + n]), i)
+    exp = Counter()
+    for (i, t), (shown, _) in zip(ids, ROWS):
+        w = (t or "").encode().split()
+        gone = {x for k in range(len(w) - n + 1) if first[b" ".join(w[k:k + n])] < i for x in range(k, k + n)}
+        exp[shown, len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone).decode()] += 1
+    out = substring_dedup.remove_repeats(docs, **options)
+    assert rows_of(out, "doc_id", "n_words", "n_removed", "kept_text") == exp
+    assert sum(k[2] > 0 for k in exp) >= 3
+    assert substring_dedup.remove_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("rows_per_range", [1000, 3])
+def test_fingerprints(docs, empty, rows_per_range):
+    order = sorted(ROWS, key=lambda r: (-(NONE if r[0] is None else r[0]), r[1] or ""))
+    exp = Counter()
+    for k, (i, t) in enumerate(order):
+        t, after = t or "", order[(k + 1) % len(order)][1] or ""
+        cut = len(t) // 3
+        exp[i, len(t), sha((t[:len(t) - cut] + after[:cut]).encode())] += 1
+    out = imatch.fingerprint_documents(docs, rows_per_range=rows_per_range)
+    assert rows_of(out, "doc_id", "n_chars", "edited_sha256") == exp
+    rows = out.collect()
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    fp = defaultdict(set)
+    for r in rows:
+        if r["doc_id"] in (23, 24):
+            fp["copies"].add(r["fingerprint"])
+    assert len(fp["copies"]) == 1
+    assert imatch.fingerprint_documents(empty).count() == 0
+
+
+def test_simhash(docs, empty):
+    def fp(t):
+        w = (t or "").encode().lower().split()
+        s = [b" ".join(w[k:k + 3]) for k in range(len(w) - 2)] or ([b" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(x, seed=42) for x in s]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps = [fp(t) for _, t in ROWS]
+    group = list(range(len(fps)))
+    for a in range(len(fps)):
+        for b in range(a):
+            if bin(fps[a] ^ fps[b]).count("1") <= 3:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    exp = Counter()
+    for k, (i, _) in enumerate(ROWS):
+        ids = [ROWS[j][0] for j in range(len(fps)) if group[j] == group[k] and ROWS[j][0] is not None]
+        exp[i, fps[k] - (1 << 64) if fps[k] >> 63 else fps[k], min(ids, default=None)] += 1
+    assert rows_of(simhash.near_duplicates(docs), "doc_id", "fp", "component_id") == exp
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+@pytest.mark.parametrize("tile", [2000, 3])
+def test_simhash_chains_and_hot_keys(spark, tile):
+    """Fingerprints a few bits apart form chains; small tiles split every key."""
+    r = random.Random(4)
+    base = r.getrandbits(64)
+    fps = {base ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 4))) for _ in range(120)}
+    fps |= {r.getrandbits(64) for _ in range(50)}
+    fps = sorted(fps)
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    edges = simhash.links(spark.createDataFrame(signed, "fp long").repartition(3), 3, tile)
+    root = {r_["node"]: r_["root"] for r_ in simhash.connected_components(edges).collect()}
+    group = list(range(len(fps)))
+    for a in range(len(fps)):
+        for b in range(a):
+            if bin(fps[a] ^ fps[b]).count("1") <= 3 and group[a] != group[b]:
+                old = group[a]
+                group = [group[b] if g == old else g for g in group]
+    got = [root.get(f[0], f[0]) for f in signed]
+    for a in range(len(fps)):
+        for b in range(a):
+            assert (got[a] == got[b]) == (group[a] == group[b])
+
+
+def test_bpe(docs, empty):
+    import base64
+
+    import tiktoken
+
+    path, pattern = tokenizer()
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    exp = Counter()
+    for i, t in ROWS:
+        ids = enc.encode_ordinary(t or "")
+        exp[i, len(ids), tuple(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())] += 1
+    out = bpe.encode_decode(docs, path, pattern, with_ids=True)
+    assert rows_of(out, "doc_id", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256") == exp
+    assert bpe.encode_decode(empty, path, pattern).count() == 0
+
+
+def test_bpe_random_strings_and_bounded_tables(monkeypatch):
+    import tiktoken
+
+    path, pattern = tokenizer()
+    ranks = bpe.read_ranks(None, path)
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    for name, v in (("SLICE", 40), ("LOOK_AHEAD", 16), ("MOST_PIECES", 20), ("MOST_TRANSITIONS", 50)):
+        monkeypatch.setattr(bpe, name, v)
+    e, r = bpe.Encoder(ranks, pattern), random.Random(6)
+    for k in range(400):
+        pool = ["abcdefgh thein", "é ñüöß漢字 the", "  \n\t x'sre!!", "🙂🙃é<|endoftext|>"][k % 4]
+        s = "".join(r.choice(pool) for _ in range(r.randint(0, 200)))
+        ids = [i for part in e.pieces(s) for piece, _ in part for i in piece]
+        assert ids == enc.encode_ordinary(s)
+        stream = bpe.Utf8Stream(e.machine.bytes_of)
+        assert "".join(stream.feed([i]) for i in ids) + stream.end() == s  # one token at a time
