@@ -3,7 +3,7 @@
   python -m comptoir cycle  --replica PATH --out PATH [--settings PATH] [--registry PATH] [--cycle-no N]
                             [--parallel-reports N] [--check-contract]
   python -m comptoir stream --changes PATH --replica PATH --out PATH [--settings PATH] [--interval "60 seconds"]
-                            [--available-now] [--registry PATH]
+                            [--available-now] [--registry PATH] [--checkpoint PATH]
   python -m comptoir report NAME --replica PATH [--rows N]
   python -m comptoir health --out PATH [--rows N]
 
@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--out", required=True)
     c.add_argument("--settings")
     c.add_argument("--registry")
-    c.add_argument("--cycle-no", type=int, default=0)
+    c.add_argument("--cycle-no", type=int, help="default: the time")
     c.add_argument("--parallel-reports", type=int, default=4)
     c.add_argument("--check-contract", action="store_true", help="fail the cycle on duplicate replica keys")
     s = sub.add_parser("stream")
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--settings")
     s.add_argument("--registry")
     s.add_argument("--interval", default="60 seconds")
+    s.add_argument("--checkpoint", help="default: a folder below spark.checkpoint.dir that belongs to --out")
     s.add_argument("--available-now", action="store_true")
     r = sub.add_parser("report")
     r.add_argument("name")
@@ -62,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         from comptoir.plans.cycle import refresh_cycle
         from comptoir.sources.replica import load_replica
 
-        res = refresh_cycle(spark, load_replica(spark, a.replica), a.out, a.cycle_no, _settings(spark, a.settings),
+        res = refresh_cycle(spark, lambda: load_replica(spark, a.replica), a.out, a.cycle_no,
+                            lambda: _settings(spark, a.settings),
                             registry_path=a.registry, parallel_reports=a.parallel_reports,
                             check_contract=a.check_contract)
         for key, _, err, ms in res.outcomes:
@@ -72,8 +74,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "stream":
         from comptoir.streaming.refresh import refresh_stream
 
-        q = refresh_stream(spark, a.changes, a.replica, a.out, _settings(spark, a.settings), interval=a.interval,
-                           available_now=a.available_now, registry_path=a.registry)
+        q = refresh_stream(spark, a.changes, a.replica, a.out, lambda: _settings(spark, a.settings),
+                           interval=a.interval, available_now=a.available_now, registry_path=a.registry,
+                           checkpoint=a.checkpoint)
         q.awaitTermination()
         return 0
     if a.cmd == "report":

@@ -29,7 +29,8 @@ def _report_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.run_log_from_testdata(spark, sf_dir)
-    return sync_health(log, fx.cycles_from_run_log(log))
+    cycles = fx.cycles_from_run_log(log)
+    return sync_health(fx.reported(log, cycles), cycles)
 
 
 def q_snapshot_payload(spark: SparkSession, sf_dir: str) -> DataFrame:

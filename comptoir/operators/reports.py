@@ -24,10 +24,6 @@ from comptoir.functions.topn import RANK, top_n
 from comptoir.plans.base import SALES_TYPES, Base
 
 
-# Most top-N keys (n x tenants) broadcast to cut a dimension table before a name join.
-BROADCAST_KEYS = 200_000
-
-
 def _dec(c: Column | str, p: int, s: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast(f"decimal({p},{s})")
@@ -43,24 +39,10 @@ def _avg6(total: Column, n: Column) -> Column:
     return _six(total.cast("double") / n.cast("double"))
 
 
-def _cut_to(dim: DataFrame, df: DataFrame, keys: list[str], n: int, base: Base) -> DataFrame:
-    """The rows of dimension ``dim`` whose ``keys`` occur in ``df``, a top-N result (at most ``n`` rows per tenant).
-
-    When the number of tenants is known and ``n`` times it stays within
-    ``BROADCAST_KEYS``, the keys are broadcast and ``dim`` is only scanned,
-    never shuffled. Otherwise ``dim`` is returned whole and the name join is a
-    plain left join that Spark (AQE) plans at run time: an unbroadcast cut
-    would cost more stages than it saves.
-    """
-    if base.tenant_count is None or n * base.tenant_count > BROADCAST_KEYS:
-        return dim
-    return dim.join(F.broadcast(df.select(*keys).distinct()), keys, "left_semi")
-
-
 def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str, n: int) -> DataFrame:
     """Left-join the party name on ``key`` to a top-N result and apply the report's fallback."""
     keys = ["tenant_id", key]
-    names = _cut_to(base.party_names(key), df, keys, n, base)
+    names = base.party_names(key)
     return (df.join(names, keys, "left")
             .withColumn(alias, F.coalesce(F.col("CT_Intitule"), F.lit(fallback))))
 
@@ -193,7 +175,7 @@ def rotation(base: Base, n: int = 20) -> DataFrame:
     s = base.item_sales().where(F.col("AR_Ref").isNotNull())
     t = top_n(s, [F.col("qty").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
     keys = ["tenant_id", "AR_Ref"]
-    t = t.join(_cut_to(base.items().select(*keys, "AR_Design"), t, keys, n, base), keys, "left")
+    t = t.join(base.items().select(*keys, "AR_Design"), keys, "left")
     return t.select(
         "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),

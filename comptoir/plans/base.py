@@ -31,8 +31,6 @@ SALES_TYPES = (SALES_CREDIT_NOTE, SALES_INVOICE)
 class Base:
     replica: dict[str, DataFrame]
     materialized: dict[str, DataFrame] = field(default_factory=dict)
-    # Number of tenants in the replica, when known (a refresh cycle counts them); bounds top-N key sets.
-    tenant_count: int | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.replica[name]

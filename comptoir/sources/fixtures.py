@@ -21,23 +21,9 @@ FIXTURE_TENANTS = ["T0", "T1", "T2"]
 CONNECT_ERROR = "SQL connect failed: login timeout expired"
 
 
-# Test tables that grow with the scale factor (facts); the others are small dimensions.
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; a fact table is spread over the cores when its scan gives fewer tasks than that.
-
-    The test files hold one row group each, so a scan is one task however
-    large the file. Spreading a fact table before the per-row derivation lets
-    every core work; a source already split into many scan tasks is read as is.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACT_TABLES and df.rdd.getNumPartitions() < cores:
-        # Hash on the table's first (key) column: deterministic on recompute, no sort needed.
-        df = df.repartition(cores, df.columns[0])
-    return df
+    """A test table, read as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The views are given as Spark SQL expressions: one JVM call per table instead
@@ -160,10 +146,17 @@ def run_log_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cycles_from_run_log(run_log: DataFrame) -> DataFrame:
     """One row per (tenant, cycle); cycles with ``cycle_no % 20 < 9`` failed to connect."""
-    return (run_log.select("tenant_id", "cycle_no").distinct()
+    return (run_log.groupBy("tenant_id", "cycle_no")
+            .agg(F.max("logged_at").alias("started_at"), F.sum("elapsed_ms").cast("int").alias("duration_ms"))
             .withColumn("cycle_error", F.when(F.col("cycle_no") % 20 < 9, F.lit(CONNECT_ERROR))))
 
 
+def reported(run_log: DataFrame, cycles: DataFrame) -> DataFrame:
+    """The run log as a refresh leaves it: a cycle that failed as a whole has no report outcomes."""
+    failed = cycles.where(F.col("cycle_error").isNotNull()).select("tenant_id", "cycle_no")
+    return run_log.join(failed, ["tenant_id", "cycle_no"], "left_anti")
+
+
 def registry_from_replica(replica: dict[str, DataFrame]) -> DataFrame:
     """Tenant registry rows for the tenants in the data, as left by an earlier sync."""
     return tenants_of(replica).select(

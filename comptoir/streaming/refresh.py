@@ -16,6 +16,8 @@ after a failure leaves the same result.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from comptoir.functions.labels import MODULE_KEYS
 from comptoir.plans.cycle import refresh_cycle
-from comptoir.session import ensure_checkpoint_dir, scratch_path
+from comptoir.session import ensure_checkpoint_dir
 from comptoir.sources.replica import load_replica
 
 CHANGES_SCHEMA = T.StructType([
@@ -35,11 +37,21 @@ CHANGES_SCHEMA = T.StructType([
 DEFAULT_INTERVAL = "60 seconds"
 
 
+def stream_checkpoint(spark: SparkSession, out_root: str) -> str:
+    """The checkpoint folder of the stream that writes to ``out_root``."""
+    key = hashlib.sha1(out_root.rstrip("/").encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/comptoir/stream/{key}"
+
+
 def refresh_stream(spark: SparkSession, changes_path: str, replica_path: str, out_root: str,
-                   settings: DataFrame, interval: str | None = DEFAULT_INTERVAL, available_now: bool = False,
+                   settings, interval: str | None = DEFAULT_INTERVAL, available_now: bool = False,
                    checkpoint: str | None = None, registry_path: str | None = None,
                    modules: list[str] = MODULE_KEYS, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the refresh query; ``available_now`` processes what has landed and stops (tests, catch-up)."""
+    """Start the refresh query; ``available_now`` processes what has landed and stops (tests, catch-up).
+
+    ``settings`` is a table or a function that reads it, called for every batch. The default checkpoint
+    belongs to ``out_root``: started again for the same output, the query goes on where it stopped.
+    """
     ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(CHANGES_SCHEMA)
     if max_files_per_trigger:
@@ -50,11 +62,10 @@ def refresh_stream(spark: SparkSession, changes_path: str, replica_path: str, ou
         touched = batch.select("tenant_id").where(F.col("tenant_id").isNotNull()).distinct().checkpoint()
         if touched.isEmpty():
             return
-        replica = load_replica(spark, replica_path, tenants=touched)
-        refresh_cycle(spark, replica, out_root, batch_id, settings, tenants=touched, modules=modules,
+        refresh_cycle(spark, lambda: load_replica(spark, replica_path, tenants=touched), out_root, batch_id, settings, tenants=touched, modules=modules,
                       registry_path=registry_path)
 
     w = (changes.writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream")))
+         .option("checkpointLocation", checkpoint or stream_checkpoint(spark, out_root)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
