@@ -189,8 +189,8 @@ def train(docs: DataFrame, rated: DataFrame, most_rated: int = MOST_RATED, steps
     first = [math.log((1 - a) / a) for a in above]
     x = np.zeros(dims + GRADES - 1)
     x[dims:] = [first[0], *(math.log(max(b - a, 1e-3)) for a, b in zip(first, first[1:]))]
-    if not total:
-        return Model(x[:dims], thresholds(x))
+    if not total:  # nothing to learn from: every tail is likely, so nothing is rejected
+        return Model(x[:dims], np.linspace(-1.0, -0.5, GRADES - 1))
     value, grad = evaluate(x)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
