@@ -1,9 +1,10 @@
 """DuckDB oracle: each query is plain SQL over the test parquet views.
 
-The reports are written as the source system states them (plain joins, the
-line x payment product included), so that they check the Spark operators'
-rewrites rather than repeat them. ``views.sql`` holds the fixture views as
-CTEs; every query is prefixed with them.
+``shared.sql`` holds the relations that several reports are written over
+(document lines, document totals, payments by payer...), ``views.sql`` the
+fixture views; both are CTEs put before every query. Items are joined line
+by line and the line x payment product is built in full, so that the SQL
+checks the Spark operators' rewrites rather than repeats them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ HERE = Path(__file__).parent
 
 
 def names() -> list[str]:
-    return sorted(p.stem for p in HERE.glob("*.sql") if p.stem != "views")
+    return sorted(p.stem for p in HERE.glob("*.sql") if p.stem not in ("views", "shared"))
 
 
 # Decimal output columns, published as exact text (as in the snapshot JSON).
@@ -37,9 +38,18 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
 }
 
 
-def body_sql(name: str) -> str:
-    """The query alone, over tables named like the replica (no fixture views)."""
-    body = (HERE / f"{name}.sql").read_text().strip().rstrip(";")
+def shared_sql() -> str:
+    return (HERE / "shared.sql").read_text().strip()
+
+
+def report_sql(name: str) -> str:
+    """The query with typed decimals, without the shared relations before it."""
+    return (HERE / f"{name}.sql").read_text().strip().rstrip(";")
+
+
+def published_sql(name: str) -> str:
+    """The query in published form: decimals as exact text."""
+    body = report_sql(name)
     dec = DECIMAL_COLUMNS.get(name)
     if dec:
         casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dec)
@@ -47,9 +57,14 @@ def body_sql(name: str) -> str:
     return body
 
 
+def body_sql(name: str) -> str:
+    """The published query over tables named like the replica (no fixture views)."""
+    return f"WITH {shared_sql()}\n{published_sql(name)}"
+
+
 def sql(name: str) -> str:
     views = (HERE / "views.sql").read_text().strip()
-    return f"WITH {views}\n{body_sql(name)}"
+    return f"WITH {views},\n{shared_sql()}\n{published_sql(name)}"
 
 
 def all_sql() -> dict[str, str]:

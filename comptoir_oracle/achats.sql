@@ -1,11 +1,9 @@
-SELECT tenant_id, NumFacture, DateFacture, CodeFournisseur, NomFournisseur, MONTANT_TTC, TypeDoc FROM (
-  SELECT E.tenant_id, E.DO_Piece AS NumFacture, strftime(E.DO_Date, '%d/%m/%Y') AS DateFacture,
-    E.DO_Tiers AS CodeFournisseur, coalesce(C.CT_Intitule, 'FOURNISSEUR INCONNU') AS NomFournisseur,
-    CAST(SUM(L.DL_MontantTTC) AS DECIMAL(18,2)) AS MONTANT_TTC, 'FACTURE FOURNISSEUR' AS TypeDoc,
-    ROW_NUMBER() OVER (PARTITION BY E.tenant_id ORDER BY E.DO_Date DESC NULLS LAST, E.DO_Piece DESC NULLS LAST) AS rn
-  FROM F_DOCENTETE E
-  JOIN F_DOCLIGNE L ON E.tenant_id = L.tenant_id AND E.DO_Piece = L.DO_Piece AND E.DO_Type = L.DO_Type
-  LEFT JOIN F_COMPTET C ON E.tenant_id = C.tenant_id AND E.DO_Tiers = C.CT_Num
-  WHERE E.DO_Type = 17
-  GROUP BY E.tenant_id, E.DO_Piece, E.DO_Date, E.DO_Tiers, C.CT_Intitule
-) WHERE rn <= 100
+SELECT tenant_id, DO_Piece AS NumFacture, strftime(DO_Date, '%d/%m/%Y') AS DateFacture, DO_Tiers AS CodeFournisseur,
+  coalesce(party_name, 'FOURNISSEUR INCONNU') AS NomFournisseur, CAST(total AS DECIMAL(18,2)) AS MONTANT_TTC,
+  'FACTURE FOURNISSEUR' AS TypeDoc
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY DO_Date DESC NULLS LAST, DO_Piece DESC NULLS LAST) AS rn
+  FROM doc_totals WHERE DO_Type = 17
+) AS ranked
+LEFT JOIN party USING (tenant_id, DO_Tiers)
+WHERE rn <= 100

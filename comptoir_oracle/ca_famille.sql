@@ -1,8 +1,5 @@
-SELECT L.tenant_id, coalesce(FA.FA_CodeFamille, 'AUTRE') AS CodeFamille, coalesce(FA.FA_Intitule, 'Général') AS LibelleFamille,
-  CAST(SUM(L.DL_MontantTTC) AS DECIMAL(28,6)) AS CA_Famille
-FROM F_DOCLIGNE L
-JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type
-LEFT JOIN F_ARTICLE A ON L.tenant_id = A.tenant_id AND L.AR_Ref = A.AR_Ref
-LEFT JOIN F_FAMILLE FA ON A.tenant_id = FA.tenant_id AND A.FA_CodeFamille = FA.FA_CodeFamille
-WHERE E.DO_Type IN (6, 7)
-GROUP BY L.tenant_id, FA.FA_CodeFamille, FA.FA_Intitule
+SELECT tenant_id, coalesce(known_code, 'AUTRE') AS CodeFamille, coalesce(FA_Intitule, 'Général') AS LibelleFamille,
+  CAST(SUM(DL_MontantTTC) AS DECIMAL(28,6)) AS CA_Famille
+FROM sold_items
+LEFT JOIN (SELECT *, FA_CodeFamille AS known_code FROM F_FAMILLE) AS families USING (tenant_id, FA_CodeFamille)
+GROUP BY tenant_id, known_code, FA_Intitule

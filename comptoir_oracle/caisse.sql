@@ -1,12 +1,16 @@
-SELECT tenant_id, NUM_REGLEMENT, DATE_MVT, NOM_TIERS, LIBELLE_MVT, NOM_CAISSE, ENTREE_CAISSE, SORTIE_CAISSE, MODE_REGLEMENT FROM (
-  SELECT R.tenant_id, R.RG_No AS NUM_REGLEMENT, strftime(R.RG_Date, '%d/%m/%Y') AS DATE_MVT,
-    coalesce(C.CT_Intitule, 'DIVERS') AS NOM_TIERS, R.RG_Libelle AS LIBELLE_MVT,
-    coalesce(CA.CA_Intitule, 'CAISSE PRINCIPALE') AS NOM_CAISSE,
-    CAST(CASE WHEN R.RG_Type = 0 THEN R.RG_Montant ELSE 0 END AS DECIMAL(14,2)) AS ENTREE_CAISSE,
-    CAST(CASE WHEN R.RG_Type = 1 THEN R.RG_Montant ELSE 0 END AS DECIMAL(14,2)) AS SORTIE_CAISSE,
-    CASE R.N_Reglement WHEN 0 THEN 'Espèces' WHEN 1 THEN 'Chèque' WHEN 2 THEN 'Carte' WHEN 3 THEN 'Virement' ELSE 'Autre' END AS MODE_REGLEMENT,
-    ROW_NUMBER() OVER (PARTITION BY R.tenant_id ORDER BY R.RG_No DESC NULLS LAST) AS rn
-  FROM F_CREGLEMENT R
-  LEFT JOIN F_COMPTET C ON R.tenant_id = C.tenant_id AND R.CT_NumPayeur = C.CT_Num
-  LEFT JOIN F_CAISSE CA ON R.tenant_id = CA.tenant_id AND R.CA_No = CA.CA_No
-) WHERE rn <= 200
+SELECT tenant_id, RG_No AS NUM_REGLEMENT, strftime(RG_Date, '%d/%m/%Y') AS DATE_MVT,
+  coalesce(party_name, 'DIVERS') AS NOM_TIERS, RG_Libelle AS LIBELLE_MVT,
+  coalesce(CA_Intitule, 'CAISSE PRINCIPALE') AS NOM_CAISSE,
+  CAST(CASE WHEN RG_Type = 0 THEN RG_Montant ELSE 0 END AS DECIMAL(14,2)) AS ENTREE_CAISSE,
+  CAST(CASE WHEN RG_Type = 1 THEN RG_Montant ELSE 0 END AS DECIMAL(14,2)) AS SORTIE_CAISSE,
+  coalesce(mode_name, 'Autre') AS MODE_REGLEMENT
+FROM (
+  SELECT * FROM (
+    SELECT *, CT_NumPayeur AS DO_Tiers, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY RG_No DESC NULLS LAST) AS rn
+    FROM F_CREGLEMENT
+  ) AS ranked
+  WHERE rn <= 200
+) AS latest
+LEFT JOIN party USING (tenant_id, DO_Tiers)
+LEFT JOIN F_CAISSE USING (tenant_id, CA_No)
+LEFT JOIN mode_names USING (N_Reglement)

@@ -1,16 +1,19 @@
-SELECT tenant_id, CodeArticle, Libelle, PrixVenteMoyen, PrixAchatMoyen, MargeUnitaire FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY MargeUnitaire DESC NULLS LAST, CodeArticle ASC NULLS FIRST) AS rn
+SELECT tenant_id, AR_Ref AS CodeArticle, Libelle, CAST(ROUND(price, 6) AS DECIMAL(38,6)) AS PrixVenteMoyen,
+  CAST(ROUND(cost, 6) AS DECIMAL(38,6)) AS PrixAchatMoyen, margin AS MargeUnitaire
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY margin DESC NULLS LAST, AR_Ref NULLS FIRST) AS rn
   FROM (
-    SELECT L.tenant_id, L.AR_Ref AS CodeArticle, MAX(coalesce(A.AR_Design, L.DL_Design)) AS Libelle,
-      CAST(ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire), 6) AS DECIMAL(38,6)) AS PrixVenteMoyen,
-      CAST(ROUND(CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen,
-      CAST(ROUND(CAST(SUM(L.DL_PrixUnitaire) AS DOUBLE) / COUNT(L.DL_PrixUnitaire)
-            - CAST(SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS MargeUnitaire
-    FROM F_DOCLIGNE L
-    JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type
-    LEFT JOIN F_ARTICLE A ON L.tenant_id = A.tenant_id AND L.AR_Ref = A.AR_Ref
-    WHERE E.DO_Type IN (6, 7) AND L.AR_Ref IS NOT NULL
-    GROUP BY L.tenant_id, L.AR_Ref
-    HAVING SUM(L.DL_PrixUnitaire) > 0
-  )
-) WHERE rn <= 20
+    SELECT *, CAST(ROUND(price - cost, 6) AS DECIMAL(38,6)) AS margin
+    FROM (
+      SELECT tenant_id, AR_Ref, MAX(coalesce(AR_Design, DL_Design)) AS Libelle,
+        SUM(DL_PrixUnitaire) AS price_sum,
+        CAST(SUM(DL_PrixUnitaire) AS DOUBLE) / COUNT(DL_PrixUnitaire) AS price,
+        CAST(SUM(coalesce(AR_PrixAch, 0)) AS DOUBLE) / COUNT(*) AS cost
+      FROM sold_items
+      WHERE AR_Ref IS NOT NULL
+      GROUP BY tenant_id, AR_Ref
+    ) AS per_item
+    WHERE price_sum > 0
+  ) AS margins
+) AS ranked
+WHERE rn <= 20

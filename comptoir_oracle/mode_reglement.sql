@@ -1,5 +1,7 @@
-SELECT R.tenant_id,
-  CASE R.N_Reglement WHEN 0 THEN 'Espèces' WHEN 1 THEN 'Chèque' WHEN 2 THEN 'Carte' WHEN 3 THEN 'Virement' ELSE 'Autre' END AS ModeReglement,
-  CAST(SUM(R.RG_Montant) AS DECIMAL(24,2)) AS TotalRegle
-FROM F_CREGLEMENT R
-GROUP BY R.tenant_id, R.N_Reglement
+SELECT tenant_id, coalesce(mode_name, 'Autre') AS ModeReglement, CAST(total AS DECIMAL(24,2)) AS TotalRegle
+FROM (
+  SELECT tenant_id, N_Reglement, SUM(RG_Montant) AS total
+  FROM F_CREGLEMENT
+  GROUP BY tenant_id, N_Reglement
+) AS per_mode
+LEFT JOIN mode_names USING (N_Reglement)

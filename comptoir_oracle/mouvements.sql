@@ -1,13 +1,12 @@
-SELECT tenant_id, NumPiece, DateMouvement, CodeArticle, LibelleArticle, Quantite, Sens, Montant FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY DO_Date DESC NULLS LAST, NumPiece ASC NULLS FIRST,
-      CodeArticle ASC NULLS FIRST, LibelleArticle ASC NULLS FIRST, Quantite ASC NULLS FIRST, Sens ASC NULLS FIRST,
-      Montant ASC NULLS FIRST) AS rn
+SELECT tenant_id, DO_Piece AS NumPiece, strftime(DO_Date, '%d/%m/%Y') AS DateMouvement, AR_Ref AS CodeArticle,
+  DL_Design AS LibelleArticle, DL_Qte AS Quantite, Sens, DL_MontantTTC AS Montant
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY DO_Date DESC NULLS LAST, DO_Piece NULLS FIRST,
+      AR_Ref NULLS FIRST, DL_Design NULLS FIRST, DL_Qte NULLS FIRST, Sens NULLS FIRST, DL_MontantTTC NULLS FIRST) AS rn
   FROM (
-    SELECT E.tenant_id, E.DO_Date, E.DO_Piece AS NumPiece, strftime(E.DO_Date, '%d/%m/%Y') AS DateMouvement,
-      L.AR_Ref AS CodeArticle, L.DL_Design AS LibelleArticle, L.DL_Qte AS Quantite,
-      CASE WHEN E.DO_Type = 20 THEN 'ENTRÉE' ELSE 'SORTIE' END AS Sens, L.DL_MontantTTC AS Montant
-    FROM F_DOCENTETE E
-    JOIN F_DOCLIGNE L ON E.tenant_id = L.tenant_id AND E.DO_Piece = L.DO_Piece AND E.DO_Type = L.DO_Type
-    WHERE E.DO_Type IN (20, 21)
-  )
-) WHERE rn <= 200
+    SELECT *, CASE WHEN DO_Type = 20 THEN 'ENTRÉE' ELSE 'SORTIE' END AS Sens
+    FROM doc_lines
+    WHERE DO_Type IN (20, 21)
+  ) AS moved
+) AS ranked
+WHERE rn <= 200

@@ -1,11 +1,13 @@
-SELECT tenant_id, CodeArticle, Libelle, QuantiteVendue, PrixMoyen FROM (
-  SELECT L.tenant_id, L.AR_Ref AS CodeArticle, MAX(coalesce(A.AR_Design, L.DL_Design)) AS Libelle,
-    CAST(SUM(L.DL_Qte) AS DECIMAL(22,2)) AS QuantiteVendue,
-    CAST(ROUND(CAST(SUM(L.DL_MontantTTC) AS DOUBLE) / CAST(NULLIF(SUM(L.DL_Qte), 0) AS DOUBLE), 6) AS DECIMAL(38,6)) AS PrixMoyen,
-    ROW_NUMBER() OVER (PARTITION BY L.tenant_id ORDER BY SUM(L.DL_Qte) DESC NULLS LAST, L.AR_Ref ASC NULLS FIRST) AS rn
-  FROM F_DOCLIGNE L
-  JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type
-  LEFT JOIN F_ARTICLE A ON L.tenant_id = A.tenant_id AND L.AR_Ref = A.AR_Ref
-  WHERE E.DO_Type IN (6, 7) AND L.AR_Ref IS NOT NULL
-  GROUP BY L.tenant_id, L.AR_Ref
-) WHERE rn <= 20
+SELECT tenant_id, AR_Ref AS CodeArticle, Libelle, CAST(qty AS DECIMAL(22,2)) AS QuantiteVendue,
+  CAST(ROUND(CAST(amount AS DOUBLE) / CAST(NULLIF(qty, 0) AS DOUBLE), 6) AS DECIMAL(38,6)) AS PrixMoyen
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY qty DESC NULLS LAST, AR_Ref NULLS FIRST) AS rn
+  FROM (
+    SELECT tenant_id, AR_Ref, MAX(coalesce(AR_Design, DL_Design)) AS Libelle, SUM(DL_Qte) AS qty,
+      SUM(DL_MontantTTC) AS amount
+    FROM sold_items
+    WHERE AR_Ref IS NOT NULL
+    GROUP BY tenant_id, AR_Ref
+  ) AS per_item
+) AS ranked
+WHERE rn <= 20

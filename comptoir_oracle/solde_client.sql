@@ -1,10 +1,11 @@
-SELECT C.tenant_id, C.CT_Num AS CodeClient, C.CT_Intitule AS Nom,
-  CAST(coalesce(SUM(L.DL_MontantTTC), 0) AS DECIMAL(28,6)) AS TotalFacture,
-  CAST(coalesce(SUM(R.RG_Montant), 0) AS DECIMAL(24,2)) AS TotalRegle,
-  CAST(coalesce(SUM(L.DL_MontantTTC), 0) - coalesce(SUM(R.RG_Montant), 0) AS DECIMAL(29,6)) AS Solde
-FROM F_COMPTET C
-LEFT JOIN F_DOCENTETE E ON C.tenant_id = E.tenant_id AND C.CT_Num = E.DO_Tiers AND E.DO_Type = 7
-LEFT JOIN F_DOCLIGNE L ON E.tenant_id = L.tenant_id AND E.DO_Piece = L.DO_Piece AND E.DO_Type = L.DO_Type
-LEFT JOIN F_CREGLEMENT R ON C.tenant_id = R.tenant_id AND C.CT_Num = R.CT_NumPayeur
-GROUP BY C.tenant_id, C.CT_Num, C.CT_Intitule
-HAVING coalesce(SUM(L.DL_MontantTTC), 0) - coalesce(SUM(R.RG_Montant), 0) <> 0
+-- As in the unpaid invoices, invoice rows meet payments in pairs; a party without either counts 0.
+SELECT tenant_id, DO_Tiers AS CodeClient, party_name AS Nom, CAST(billed AS DECIMAL(28,6)) AS TotalFacture,
+  CAST(paid AS DECIMAL(24,2)) AS TotalRegle, CAST(billed - paid AS DECIMAL(29,6)) AS Solde
+FROM (
+  SELECT tenant_id, DO_Tiers, party_name, coalesce(SUM(DL_MontantTTC), 0) AS billed, coalesce(SUM(RG_Montant), 0) AS paid
+  FROM party
+  LEFT JOIN invoice_rows USING (tenant_id, DO_Tiers)
+  LEFT JOIN payer_rows USING (tenant_id, DO_Tiers)
+  GROUP BY tenant_id, DO_Tiers, party_name
+) AS accounts
+WHERE billed - paid <> 0

@@ -1,4 +1,3 @@
-SELECT S.tenant_id, A.AR_Ref AS CodeArticle, A.AR_Design AS LibelleArticle, S.AS_QteSto AS QuantiteStock, S.AS_MontSto AS MontantStock
-FROM F_ARTSTOCK S
-JOIN F_ARTICLE A ON S.tenant_id = A.tenant_id AND S.AR_Ref = A.AR_Ref
-WHERE S.AS_QteSto != 0
+SELECT tenant_id, AR_Ref AS CodeArticle, AR_Design AS LibelleArticle, AS_QteSto AS QuantiteStock, AS_MontSto AS MontantStock
+FROM F_ARTSTOCK JOIN F_ARTICLE USING (tenant_id, AR_Ref)
+WHERE AS_QteSto <> 0

@@ -1,9 +1,12 @@
-SELECT tenant_id, CodeArticle, LibelleArticle, QuantiteVendue, MontantVendu FROM (
-  SELECT L.tenant_id, L.AR_Ref AS CodeArticle, MAX(coalesce(L.DL_Design, 'Article')) AS LibelleArticle,
-    CAST(SUM(L.DL_Qte) AS DECIMAL(22,2)) AS QuantiteVendue, CAST(SUM(L.DL_MontantTTC) AS DECIMAL(28,6)) AS MontantVendu,
-    ROW_NUMBER() OVER (PARTITION BY L.tenant_id ORDER BY SUM(L.DL_MontantTTC) DESC NULLS LAST, L.AR_Ref ASC NULLS FIRST) AS rn
-  FROM F_DOCLIGNE L
-  JOIN F_DOCENTETE E ON L.tenant_id = E.tenant_id AND L.DO_Piece = E.DO_Piece AND L.DO_Type = E.DO_Type
-  WHERE E.DO_Type IN (6, 7)
-  GROUP BY L.tenant_id, L.AR_Ref
-) WHERE rn <= 20
+SELECT tenant_id, AR_Ref AS CodeArticle, LibelleArticle, CAST(qty AS DECIMAL(22,2)) AS QuantiteVendue,
+  CAST(amount AS DECIMAL(28,6)) AS MontantVendu
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY amount DESC NULLS LAST, AR_Ref NULLS FIRST) AS rn
+  FROM (
+    SELECT tenant_id, AR_Ref, MAX(coalesce(DL_Design, 'Article')) AS LibelleArticle, SUM(DL_Qte) AS qty,
+      SUM(DL_MontantTTC) AS amount
+    FROM sold_lines
+    GROUP BY tenant_id, AR_Ref
+  ) AS per_item
+) AS ranked
+WHERE rn <= 20

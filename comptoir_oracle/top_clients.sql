@@ -1,10 +1,12 @@
-SELECT tenant_id, CodeClient, NomClient, CA_Total, NbFactures FROM (
-  SELECT E.tenant_id, E.DO_Tiers AS CodeClient, MAX(coalesce(C.CT_Intitule, 'CLIENT')) AS NomClient,
-    CAST(SUM(L.DL_MontantTTC) AS DECIMAL(28,6)) AS CA_Total, COUNT(DISTINCT E.DO_Piece) AS NbFactures,
-    ROW_NUMBER() OVER (PARTITION BY E.tenant_id ORDER BY SUM(L.DL_MontantTTC) DESC NULLS LAST, E.DO_Tiers ASC NULLS FIRST) AS rn
-  FROM F_DOCENTETE E
-  JOIN F_DOCLIGNE L ON E.tenant_id = L.tenant_id AND E.DO_Piece = L.DO_Piece AND E.DO_Type = L.DO_Type
-  LEFT JOIN F_COMPTET C ON E.tenant_id = C.tenant_id AND E.DO_Tiers = C.CT_Num
-  WHERE E.DO_Type IN (6, 7)
-  GROUP BY E.tenant_id, E.DO_Tiers
-) WHERE rn <= 20
+SELECT tenant_id, DO_Tiers AS CodeClient, coalesce(party_name, 'CLIENT') AS NomClient,
+  CAST(amount AS DECIMAL(28,6)) AS CA_Total, n_pieces AS NbFactures
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY tenant_id ORDER BY amount DESC NULLS LAST, DO_Tiers NULLS FIRST) AS rn
+  FROM (
+    SELECT tenant_id, DO_Tiers, SUM(DL_MontantTTC) AS amount, COUNT(DISTINCT DO_Piece) AS n_pieces
+    FROM sold_lines
+    GROUP BY tenant_id, DO_Tiers
+  ) AS per_party
+) AS ranked
+LEFT JOIN party USING (tenant_id, DO_Tiers)
+WHERE rn <= 20

@@ -3,26 +3,29 @@
 Each mutant is a text edit of the oracle SQL (old -> new); the edit must apply.
 """
 
+_GROUPED_PAYMENTS = ("CT_NumPayeur AS DO_Tiers, RG_Montant FROM F_CREGLEMENT",
+                     "CT_NumPayeur AS DO_Tiers, SUM(RG_Montant) AS RG_Montant FROM F_CREGLEMENT GROUP BY ALL")
+
 MUTANTS = {
-    "piece_only_join": ("sales", "AND E.DO_Piece = L.DO_Piece AND E.DO_Type = L.DO_Type",
-                        "AND E.DO_Piece = L.DO_Piece"),
-    "inner_for_left": ("sales", "LEFT JOIN F_COMPTET C", "JOIN F_COMPTET C"),
-    "count_without_distinct": ("top_clients", "COUNT(DISTINCT E.DO_Piece)", "COUNT(E.DO_Piece)"),
-    "null_item_dropped": ("top_articles", "WHERE E.DO_Type IN (6, 7)", "WHERE E.DO_Type IN (6, 7) AND L.AR_Ref IS NOT NULL"),
-    "label_grouping": ("mode_reglement", "GROUP BY R.tenant_id, R.N_Reglement", "GROUP BY ALL"),
-    "day_grouping": ("evolution_ca", "GROUP BY E.tenant_id, E.DO_Date, T.TotalEncaisse",
-                     "GROUP BY E.tenant_id, CAST(E.DO_Date AS DATE), strftime(E.DO_Date, '%Y-%m-%d'), T.TotalEncaisse"),
-    "payments_preaggregated_r14": ("impayees", "LEFT JOIN F_CREGLEMENT R ON E.tenant_id = R.tenant_id AND E.DO_Tiers = R.CT_NumPayeur",
-                                   "LEFT JOIN (SELECT tenant_id, CT_NumPayeur, SUM(RG_Montant) AS RG_Montant FROM F_CREGLEMENT "
-                                   "GROUP BY ALL) R ON E.tenant_id = R.tenant_id AND E.DO_Tiers = R.CT_NumPayeur"),
-    "payments_preaggregated_r15": ("solde_client", "LEFT JOIN F_CREGLEMENT R ON C.tenant_id = R.tenant_id AND C.CT_Num = R.CT_NumPayeur",
-                                   "LEFT JOIN (SELECT tenant_id, CT_NumPayeur, SUM(RG_Montant) AS RG_Montant FROM F_CREGLEMENT "
-                                   "GROUP BY ALL) R ON C.tenant_id = R.tenant_id AND C.CT_Num = R.CT_NumPayeur"),
-    "on_to_where": ("solde_client", "AND C.CT_Num = E.DO_Tiers AND E.DO_Type = 7\n",
-                    "AND C.CT_Num = E.DO_Tiers\n"),
-    "null_cost_skipped": ("marge_brute", "SUM(coalesce(A.AR_PrixAch, 0)) AS DOUBLE) / COUNT(*), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen",
-                          "SUM(A.AR_PrixAch) AS DOUBLE) / COUNT(A.AR_PrixAch), 6) AS DECIMAL(38,6)) AS PrixAchatMoyen"),
-    "item_code_grouping": ("ca_famille", "GROUP BY L.tenant_id, FA.FA_CodeFamille, FA.FA_Intitule",
-                           "GROUP BY L.tenant_id, L.AR_Ref, FA.FA_CodeFamille, FA.FA_Intitule"),
-    "having_removed": ("solde_client", "HAVING coalesce(SUM(L.DL_MontantTTC), 0) - coalesce(SUM(R.RG_Montant), 0) <> 0", ""),
+    "piece_only_join": ("sales", "F_DOCENTETE JOIN F_DOCLIGNE USING (tenant_id, DO_Piece, DO_Type)",
+                        "F_DOCENTETE JOIN (SELECT * EXCLUDE (DO_Type) FROM F_DOCLIGNE) AS l USING (tenant_id, DO_Piece)"),
+    "inner_for_left": ("sales", "LEFT JOIN party USING", "JOIN party USING"),
+    "count_without_distinct": ("top_clients", "COUNT(DISTINCT DO_Piece)", "COUNT(DO_Piece)"),
+    "null_item_dropped": ("top_articles", "FROM sold_lines\n    GROUP BY", "FROM sold_lines WHERE AR_Ref IS NOT NULL\n    GROUP BY"),
+    "label_grouping": ("mode_reglement", "SELECT tenant_id, N_Reglement, SUM(RG_Montant) AS total\n  FROM F_CREGLEMENT\n"
+                       "  GROUP BY tenant_id, N_Reglement",
+                       "SELECT tenant_id, least(N_Reglement, 4) AS N_Reglement, SUM(RG_Montant) AS total\n  FROM F_CREGLEMENT\n"
+                       "  GROUP BY ALL"),
+    "day_grouping": ("evolution_ca", "SELECT tenant_id, DO_Date, CAST(DO_Date AS DATE) AS calendar_day, SUM(total) AS amount\n"
+                     "  FROM doc_totals\n  WHERE DO_Type IN (6, 7)\n  GROUP BY tenant_id, DO_Date",
+                     "SELECT tenant_id, CAST(DO_Date AS DATE) AS DO_Date, CAST(DO_Date AS DATE) AS calendar_day, SUM(total) AS amount\n"
+                     "  FROM doc_totals\n  WHERE DO_Type IN (6, 7)\n  GROUP BY ALL"),
+    "payments_preaggregated_r14": ("impayees", *_GROUPED_PAYMENTS),
+    "payments_preaggregated_r15": ("solde_client", *_GROUPED_PAYMENTS),
+    "on_to_where": ("solde_client", "FROM party\n  LEFT JOIN invoice_rows", "FROM party\n  JOIN invoice_rows"),
+    "null_cost_skipped": ("marge_brute", "CAST(SUM(coalesce(AR_PrixAch, 0)) AS DOUBLE) / COUNT(*)",
+                          "CAST(SUM(AR_PrixAch) AS DOUBLE) / COUNT(AR_PrixAch)"),
+    "item_code_grouping": ("ca_famille", "GROUP BY tenant_id, known_code, FA_Intitule",
+                           "GROUP BY tenant_id, AR_Ref, known_code, FA_Intitule"),
+    "having_removed": ("solde_client", "WHERE billed - paid <> 0", ""),
 }
