@@ -39,6 +39,12 @@ def q_snapshot_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_payload(ordered_report("sales", base), REPORTS["sales"]).select("tenant_id", "part", "data")
 
 
+def q_snapshot_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 on an unbounded report (stock): ordered parts of 500 rows per tenant."""
+    base = Base(fx.replica_from_testdata(spark, sf_dir))
+    return snapshot_payload(ordered_report("stock", base), REPORTS["stock"], part_rows=500).drop("updated_at")
+
+
 def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = fx.replica_from_testdata(spark, sf_dir)
     return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
@@ -65,6 +71,7 @@ def q_registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{key: partial(_report_query, key) for key in REPORTS},
     "snapshot_payload": q_snapshot_payload,
+    "snapshot_parts": q_snapshot_parts,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,
     "retry_schedule": q_retry_schedule,

@@ -2,9 +2,9 @@
 
 Eleven of the fifteen reports start from the same header-line join, and four
 of them from the same per-item sales aggregate. ``Base`` builds these once,
-lazily, from the replica; a refresh cycle (``plans.cycle``) materializes them
-under the shared checkpoint folder so the big join runs once per cycle
-instead of once per report.
+lazily, from the replica; a refresh cycle (``plans.cycle``) materializes the
+two aggregates under the shared checkpoint folder, so the join runs for them
+and for the movement lines instead of once per report.
 
 Data contract (see ``schemas``): the header key (tenant_id, DO_Piece, DO_Type)
 is unique, as are parties by (tenant_id, CT_Num), items by (tenant_id, AR_Ref)
@@ -77,18 +77,25 @@ class Base:
     def item_sales(self) -> DataFrame:
         """Sales and credit-note lines per (tenant, item), the null item included.
 
-        Partial aggregation happens map-side, so a hot item ships one row per task.
+        Lines are summed per (item, text) first, by hash aggregation map-side, so a hot item ships one row per
+        text and task; the largest text is taken over an item's few texts, where sorting costs little.
         """
         if "item_sales" in self.materialized:
             return self.materialized["item_sales"]
-        return (self.lines(SALES_TYPES).groupBy("tenant_id", "AR_Ref").agg(
+        per_text = self.lines(SALES_TYPES).groupBy("tenant_id", "AR_Ref", "DL_Design").agg(
             F.sum("DL_Qte").alias("qty"),
             F.sum("DL_MontantTTC").alias("amount"),
-            F.max(F.coalesce(F.col("DL_Design"), F.lit(DEFAULT_ITEM_TEXT))).alias("text_or_default"),
-            F.max("DL_Design").alias("max_design"),
             F.sum("DL_PrixUnitaire").alias("price_sum"),
             F.count("DL_PrixUnitaire").alias("price_n"),
-            F.count(F.lit(1)).alias("n_lines")))
+            F.count(F.lit(1)).alias("n_lines"))
+        return per_text.groupBy("tenant_id", "AR_Ref").agg(
+            F.sum("qty").alias("qty"),
+            F.sum("amount").alias("amount"),
+            F.max(F.coalesce(F.col("DL_Design"), F.lit(DEFAULT_ITEM_TEXT))).alias("text_or_default"),
+            F.max("DL_Design").alias("max_design"),
+            F.sum("price_sum").alias("price_sum"),
+            F.sum("price_n").alias("price_n"),
+            F.sum("n_lines").alias("n_lines"))
 
     # -- payments -------------------------------------------------------------
     def payments(self) -> DataFrame:
