@@ -89,8 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_license_scan, op2_line_dedup, op3_url_filter, op4_sharding, op5_quality_classifier, op6_decontamination,
         op7_substring_dedup, op8_document_fingerprints, op9_simhash_near_dedup, op10_byte_bpe)}
 
-#: Trimmed key of the lines of op2, and the words of op7, in DuckDB.
+#: White space of the line keys of op2, words of op6 and lower case in DuckDB.
 _BLANK = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE: dict[str, str] = {
@@ -112,4 +113,45 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(goes AS INTEGER)) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE NOT goes), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op6_decontamination": rf"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(text, {_ASCII}), '{_WORD}') AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         array_to_string(w[pos:pos + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS pos FROM items WHERE len(w) > 0)),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '{_WORD}') AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM grams),
+places AS (
+  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS pos FROM docs, sizes WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, pos, grams.n, item_id FROM places, grams
+  WHERE places.n = grams.n AND array_to_string(w[pos:pos + places.n - 1], ' ') = gram),
+words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op7_substring_dedup": rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, pos, sha256(array_to_string(w[pos:pos + 49], ' ')) AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM docs WHERE len(w) >= 50)),
+firsts AS (SELECT gram, min(doc_id) AS first_doc FROM windows GROUP BY gram),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS nth FROM windows JOIN firsts USING (gram)
+  WHERE first_doc < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS nth FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY nth) AS kept_text
+  FROM words ANTI JOIN covered USING (doc_id, nth) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)""",
 }
