@@ -12,6 +12,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from comptoir.functions.publish import published
 from comptoir.operators.gate import module_gate
@@ -19,8 +20,10 @@ from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_heal
 from comptoir.operators.registry import upsert_registry
 from comptoir.operators.reports import REPORTS, ordered_report, report
 from comptoir.plans.base import Base
-from comptoir.sinks.snapshot import snapshot_payload
+from comptoir.session import scratch_path
+from comptoir.sinks.snapshot import replace_snapshot, snapshot_payload
 from comptoir.sources import fixtures as fx
+from comptoir.sources.replica import check_keys, conform
 
 
 def _report_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +48,30 @@ def q_snapshot_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_payload(ordered_report("stock", base), REPORTS["stock"], part_rows=500).drop("updated_at")
 
 
+def q_snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4: the sales rows of every tenant, then the purchases of all tenants but T1, which keeps its sales."""
+    base = Base(fx.replica_from_testdata(spark, sf_dir))
+    path = scratch_path(spark, "queries", "snapshot_replace")
+    columns = ["tenant_id", "NumFacture", "DateFacture", "MONTANT_TTC", "TypeDoc"]
+    first, second = (published(report(key, base)).select(*columns) for key in ("sales", "achats"))
+    replace_snapshot(first, path)
+    replace_snapshot(second.where("tenant_id <> 'T1'"), path)
+    return spark.read.schema(first.schema).parquet(path).select(*columns)
+
+
+def q_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: landed payments cast to the replica's schema; rejected rows carry the columns that don't fit."""
+    good, rejected = conform(fx.landed_payments(fx.replica_from_testdata(spark, sf_dir)), "F_CREGLEMENT")
+    key = ["tenant_id", "RG_No"]
+    return published(good.select(*key, "RG_Montant", F.lit(None).cast("string").alias("rejected_columns"))).unionByName(
+        rejected.select(*key, F.lit(None).cast("string").alias("RG_Montant"), "rejected_columns"))
+
+
+def q_check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: keys that a second delivery made occur twice."""
+    return check_keys(fx.landed_twice(fx.replica_from_testdata(spark, sf_dir)))
+
+
 def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = fx.replica_from_testdata(spark, sf_dir)
     return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
@@ -72,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{key: partial(_report_query, key) for key in REPORTS},
     "snapshot_payload": q_snapshot_payload,
     "snapshot_parts": q_snapshot_parts,
+    "snapshot_replace": q_snapshot_replace,
+    "conform": q_conform,
+    "check_keys": q_check_keys,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,
     "retry_schedule": q_retry_schedule,

@@ -174,3 +174,20 @@ def activations_from_replica(replica: dict[str, DataFrame]) -> DataFrame:
     return (replica["F_CREGLEMENT"].groupBy("tenant_id").agg(F.max("RG_Date").alias("updated_at"))
             .select("tenant_id", F.concat(F.lit("HW2-"), F.col("tenant_id")).alias("hw_id"),
                     F.lit("active").alias("status"), "updated_at"))
+
+
+def landed_payments(replica: dict[str, DataFrame]) -> DataFrame:
+    """Payments as text, as a landing may deliver them: every seventh amount has a third decimal, some dates are broken."""
+    return replica["F_CREGLEMENT"].selectExpr(
+        "tenant_id", "CAST(RG_No AS STRING) AS RG_No",
+        "CASE WHEN RG_No % 11 = 0 THEN 'unknown' ELSE CAST(RG_Date AS STRING) END AS RG_Date",
+        "CT_NumPayeur", "RG_Libelle", "CAST(RG_Type AS STRING) AS RG_Type",
+        "CASE WHEN RG_No % 7 = 0 THEN concat(CAST(RG_Montant AS STRING), '5') ELSE CAST(RG_Montant AS STRING) END"
+        " AS RG_Montant",
+        "CAST(N_Reglement AS STRING) AS N_Reglement", "CAST(CA_No AS STRING) AS CA_No")
+
+
+def landed_twice(replica: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The replica with some headers, parties and payments delivered a second time."""
+    again = {"F_DOCENTETE": "DO_Type = 17", "F_COMPTET": "CT_Num LIKE '%5'", "F_CREGLEMENT": "CA_No = 6"}
+    return replica | {name: replica[name].unionByName(replica[name].where(cond)) for name, cond in again.items()}
