@@ -23,6 +23,10 @@ which links like any other; a text with fewer words than a shingle is one
 shingle. ``component_id`` is the smallest ``doc_id`` of the group (nulls are
 passed over; a group of nulls alone has null). An empty table gives an empty
 result. Other columns play no part.
+
+:func:`one_per_component` keeps one row of each group, whatever ids are null or
+repeated: rows are told apart by a staged number, and the smallest by
+(``doc_id`` nulls last, hash of the text, number) stays.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comptoir.llm.common import batch_of, small_batches, stage
+from comptoir.llm.common import batch_of, small_batches, stage, text_hash
 from comptoir.llm.components import connected_components
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -60,17 +64,18 @@ def fingerprint(text: str | None, shingle_words: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ``carry``, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
     small_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = ["doc_id", *carry]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ids)
 
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in b.column("text").to_pylist()], "<u8")
-            yield batch_of({"doc_id": (b.column("doc_id"), None), "fp": (pa.array(fps.view("<i8")), None)})
+            yield batch_of({c: (b.column(c), None) for c in ids} | {"fp": (pa.array(fps.view("<i8")), None)})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return docs.select(*ids, "text").mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -152,3 +157,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
     ids = stage(classes.join(linked, "fp", "left")
                 .select("fp", F.coalesce("group_id", "first_id").alias("component_id")), "component_ids")
     return fps.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def one_per_component(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, tile: int = 2000) -> DataFrame:
+    """The row of each component that is smallest by (doc_id nulls last, hash of the text, number of the row)."""
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    fps = fingerprints(rows.select("doc_id", "text", "__row", text_hash().alias("__th")), shingle_words, ("__row", "__th"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__th", "__row")
+    classes = stage(fps.groupBy("fp").agg(F.min(order).alias("first")), "classes")
+    comps = connected_components(links(classes, max_bits, tile))
+    # A class without a link is a component of its own; its fp is no other component's root.
+    stay = (classes.join(comps, F.col("fp") == F.col("node"), "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first")).select("first.__row"))
+    return rows.join(stay, "__row", "left_semi").select(*(f"`{c}`" for c in docs.columns))

@@ -2,7 +2,7 @@
 
 1. quality classifier: documents whose probability of the clean grade is under a half go
 2. line dedup: lines repeated in at least three documents stay in one of them
-3. SimHash near-dedup: of each group the document with the smallest id stays
+3. SimHash near-dedup: of each group one row stays, the smallest by (id, nulls last; hash of the text; place)
 4. benchmark decontamination: the words of benchmark passages are cut out
 5. byte-level BPE: documents as token ids, with counts and digests
 
@@ -42,10 +42,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs, shingle_words=3, max_bits=3)
-    others = (groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-              .withColumnRenamed("doc_id", "__other"))
-    return docs.join(others, docs["doc_id"].eqNullSafe(others["__other"]), "left_anti")
+    return simhash.one_per_component(docs, shingle_words=3, max_bits=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
