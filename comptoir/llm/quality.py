@@ -12,7 +12,7 @@ punctuation.
 
 Training maximises the cumulative-link likelihood less a ridge by limited-memory quasi-Newton
 steps. Every evaluation is a Spark job over the staged features of a bounded sample of rated documents
-(``most_rated``, by hash of the id), which adds up likelihood and gradient by task; the driver sees a vector of
+(``most_rated``, by hash of id, grade and text), which adds up likelihood and gradient by task; the driver sees a vector of
 fixed size for each task. The weights have a fixed size and are broadcast. Scoring is one pass without a
 shuffle.
 
@@ -20,7 +20,9 @@ A document is kept if its tail probability P(grade >= ``keep_grade``) is at leas
 ``keep_probability``.
 
 Defined results: a null text is empty; a text without tokens has the thresholds' own probabilities.
-Ratings without a document and null ratings are left out; rows that repeat a ``doc_id`` are samples of their own.
+Ratings without a document are left out before the sample is bounded, and so are ratings whose grade is unknown (a
+toxic text has grade 0 whatever its quality). A document rated with several grades, or a ``doc_id`` with several texts,
+gives a sample for each; rows that repeat id, text and grade are one sample, so no id can fill the sample by repetition.
 Without ratings every document gets the same probabilities, and all are kept. Columns beside ``doc_id`` and ``text``
 are kept, but for those named as an output.
 """
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.llm.common import batch_of, carried, small_batches, stage
+from comptoir.llm.common import batch_of, carried, small_batches, stage, text_hash
 
 DIMS = 1 << 18
 GRADES = 3
@@ -59,8 +61,8 @@ class Model:
 
 
 def grades(labels: DataFrame) -> DataFrame:
-    """(doc_id, grade) from the ratings quality 0/1 and toxic 0/1."""
-    return labels.where("doc_id is not null and quality is not null and toxic is not null").select(
+    """(doc_id, grade) from the ratings quality 0/1 and toxic 0/1; a toxic one needs no quality."""
+    return labels.where("doc_id is not null and (toxic = 1 or quality is not null and toxic is not null)").select(
         "doc_id", F.when(F.col("toxic") == 1, 0).otherwise(F.col("quality") + 1).cast("int").alias("grade"))
 
 
@@ -130,13 +132,30 @@ def _direction(grad: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) ->
     return q
 
 
+def sampled(docs: DataFrame, rated: DataFrame, most_rated: int) -> DataFrame:
+    """(text, grade): at most ``most_rated`` of the distinct (doc_id, text, grade), the first by their hash."""
+    key = ["doc_id", "grade", "__th"]
+    texts = docs.select("doc_id", "text", text_hash().alias("__th"))
+    found = stage(texts.select("doc_id", "__th").join(rated.select("doc_id", "grade").distinct(), "doc_id").select(*key)
+                  .distinct().withColumn("__h", F.xxhash64(*key)), "rated_ids")
+    # Only hashes under a bound that leaves somewhat more than enough are ordered, so that one task never gets them all.
+    n, near, share = found.count(), found, 1.25 * most_rated + 1000
+    while share < n:
+        near = found.where(F.col("__h") < F.lit(int(share / n * 2.0 ** 64) - (1 << 63)))
+        if near.count() >= most_rated:
+            break
+        near, share = found, 2 * share
+    chosen = near.orderBy("__h", *key).limit(most_rated).select(*key)
+    # ``most_rated`` rows are broadcast; no text is shuffled but theirs.
+    return texts.join(F.broadcast(chosen), ["doc_id", "__th"]).dropDuplicates(key).select("text", "grade")
+
+
 def train(docs: DataFrame, rated: DataFrame, most_rated: int = MOST_RATED, steps: int = STEPS, dims: int = DIMS,
           ridge: float = RIDGE, tasks: int = 8) -> Model:
     """Fit to the documents with a grade (``rated``: doc_id, grade)."""
     spark = docs.sparkSession
     small_batches(spark)
-    chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(most_rated)
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "grade")
+    texts = sampled(docs, rated, most_rated)
 
     def vectors(batches):
         made = Features(dims)
