@@ -64,7 +64,8 @@ def q_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, rejected = conform(fx.landed_payments(fx.replica_from_testdata(spark, sf_dir)), "F_CREGLEMENT")
     key = ["tenant_id", "RG_No"]
     return published(good.select(*key, "RG_Montant", F.lit(None).cast("string").alias("rejected_columns"))).unionByName(
-        rejected.select(*key, F.lit(None).cast("string").alias("RG_Montant"), "rejected_columns"))
+        rejected.select("tenant_id", F.col("RG_No").try_cast("bigint").alias("RG_No"),
+                        F.lit(None).cast("string").alias("RG_Montant"), "rejected_columns"))
 
 
 def q_check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
