@@ -62,7 +62,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte-level BPE encoding and decoding", tokens_stage),
 ]
 
-#: A trained classifier and a tokenizer are not SQL; tests/llm compares run() with a brute-force version.
+#: A trained classifier and a tokenizer are not SQL. No test compares run() as a whole with a brute-force version: tests/llm
+#: compares the operators of the stages after the classifier one by one, and near_dedup_stage on rows with hard ids.
 ORACLE_SQL = None
 
 
