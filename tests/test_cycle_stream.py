@@ -11,7 +11,7 @@ from comptoir.schemas import REGISTRY_SCHEMA
 from comptoir.sources.fixtures import replica_from_testdata, settings_fixture
 from comptoir.sources.replica import check_keys, load_replica, write_replica
 from comptoir.streaming.refresh import CHANGES_SCHEMA, refresh_stream
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from handmade import replica
 
 

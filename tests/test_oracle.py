@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from comptoir import api
 from helpers import duck, duck_rows, spark_rows
 
