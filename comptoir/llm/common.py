@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comptoir.session import scratch_path
 
@@ -89,6 +90,39 @@ def batch_of(columns: dict[str, tuple[list | pa.Array, pa.DataType | None]]) ->
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+def extended(df: DataFrame, inputs: list[Column], outputs: str, work) -> DataFrame:
+    """``df`` with further columns made in Python workers; columns named as one of ``outputs`` (a schema) give way.
+
+    ``work`` turns an iterator over the batches of ``inputs`` (lists of Arrow arrays) into one over (places, arrays): the
+    arrays of the outputs and the rows of the batch they belong to (None: all). The other columns
+    travel under numbers, so their names, dots and double underscores included, clash with nothing.
+    """
+    made = T.StructType.fromDDL(outputs)
+    taken = {f.name.lower() for f in made}
+    kept = [(f, df[f"`{f.name}`"]) for f in df.schema if f.name.lower() not in taken]
+    sent = df.select(*(c.alias(f"k{i}") for i, (_, c) in enumerate(kept)), *(c.alias(f"x{i}") for i, c in enumerate(inputs)))
+    n = len(kept)
+    schema = T.StructType([*(T.StructField(f"k{i}", f.dataType) for i, (f, _) in enumerate(kept)),
+                           *(T.StructField(f"o{i}", f.dataType) for i, f in enumerate(made))])
+    names = schema.fieldNames()
+
+    def run(batches):
+        held = []
+
+        def arrays():
+            for b in batches:
+                held.append(b.columns[:n])
+                yield b.columns[n:]
+
+        for places, made in work(arrays()):
+            columns = held.pop()
+            if places is not None:
+                columns = [c.take(places) for c in columns]
+            yield pa.RecordBatch.from_arrays([*columns, *made], names=names)
+
+    return sent.mapInArrow(run, schema).toDF(*(f.name for f, _ in kept), *made.names)
+
+
 def task_ids() -> Iterator[int]:
     """Numbers that no two rows of a job share: the task's partition in the high bits. Stage the rows that carry them."""
     from pyspark import TaskContext

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import bpe, decontam, imatch, license_scan, line_dedup, quality, sharding, simhash, substring_dedup
-from comptoir.llm import url_filter
+from comptoir.llm import bpe, decontam, hard_negatives, imatch, license_scan, line_dedup, mixing, quality, sharding
+from comptoir.llm import simhash, substring_dedup, url_filter, whitening
 from comptoir.llm.common import table
 from comptoir.session import scratch_path
 
@@ -84,10 +84,34 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, *tokenizer()).drop("text")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, components=32)
+    if model is None:
+        return spark.createDataFrame([], "vec_id bigint, component int, n bigint, deviation bigint, whitened double, "
+                                         "explained double, identity_error double")
+    error = whitening.identity_error(vectors, model)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained))
+    return (whitening.transform(vectors.select("vec_id", "embedding"), model)
+            .select("vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+                    F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error")))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.taken(*mixing.mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most_repeats=3))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_line_dedup, op3_url_filter, op4_sharding, op5_quality_classifier, op6_decontamination,
-        op7_substring_dedup, op8_document_fingerprints, op9_simhash_near_dedup, op10_byte_bpe)}
+        op7_substring_dedup, op8_document_fingerprints, op9_simhash_near_dedup, op10_byte_bpe,
+        op11_embedding_whitening, op12_source_mixing, op13_hard_negatives)}
 
 #: White space of the line keys of op2, words of op6 and lower case in DuckDB.
 _BLANK = r"[\x20\x09-\x0D]"
@@ -154,4 +178,56 @@ kept AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept_text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)""",
+    # Sources in order of the level at which they are full; those before the first that stays below are cut to their most.
+    "op12_source_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         sha256(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS draws
+  FROM documents),
+sources AS (
+  SELECT source, source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)),
+ranked AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+         coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, source NULLS LAST
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cut,
+         coalesce(sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weight_cut
+  FROM sources),
+level AS (
+  SELECT coalesce(min_by(lvl, cut), 0) AS lvl
+  FROM (SELECT cut, CAST(total - cut AS DOUBLE) / CAST(weights - weight_cut AS DOUBLE) AS lvl, weight, source_size FROM ranked)
+  WHERE weight * lvl <= 3 * source_size),
+rated AS (
+  SELECT source, source_size, least(weight * lvl, CAST(3 * source_size AS DOUBLE)) AS target,
+         CASE WHEN source_size > 0 THEN least(weight * lvl, CAST(3 * source_size AS DOUBLE)) / source_size ELSE 0 END AS rate
+  FROM sources, level),
+tried AS (
+  SELECT doc_id, sized.source, size, source_size, target, seed, size * CAST(floor(rate) +
+         CAST(CAST(CAST('0x' || draws[seed * 8 + 1:seed * 8 + 8] AS BIGINT) AS DOUBLE) / 4294967296.0 < rate - floor(rate) AS INTEGER) AS BIGINT) AS taken
+  FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source, (SELECT unnest(range(8)) AS seed)),
+seeds AS (
+  SELECT source, seed FROM (SELECT source, seed, row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken) - any_value(target)), seed) AS nth
+                            FROM tried GROUP BY source, seed) WHERE nth = 1)
+SELECT doc_id, size, source_size, target, taken
+FROM tried JOIN seeds ON tried.source IS NOT DISTINCT FROM seeds.source AND tried.seed = seeds.seed""",
+    "op13_hard_negatives": """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows AS a, rows AS b WHERE a.vec_id % 50 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS nth FROM scores WHERE same)
+  WHERE nth <= 5)
+SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS nth
+  FROM positives AS p JOIN scores AS n
+    ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+WHERE nth <= 3""",
 }
