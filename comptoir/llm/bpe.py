@@ -16,8 +16,8 @@ tokens are tested.
 
 Text is first cut by the tokenizer's pattern. Long texts are cut into slices at
 a blank between two non-blanks, where the pattern always starts a new match.
-Output of whole short pieces is remembered too. All remembered tables have a
-bound; when one is full, older entries go, which changes no output.
+Output of whole short pieces is remembered too, by worker process rather than by task. All remembered
+tables have a bound; when one is full, older entries go, which changes no output.
 
 **Decoding.** :class:`Utf8Stream` takes the tokens in chunks of any size. Its state is the
 unfinished character at the end (at most three bytes); the transition by a
@@ -32,20 +32,20 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
-from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from comptoir.llm.common import batch_of, carried, small_batches
+from comptoir.llm.common import extended, small_batches
 
 SLICE = 1 << 18  # characters of a text that are cut into pieces at a time
 SHORT = 48  # bytes of a piece whose output is remembered
-LOOK_AHEAD = 256  # bytes held back before tokens are emitted
-MOST_PIECES = 500_000  # in each of two generations
+LOOK_AHEAD = 256  # bytes read before tokens are emitted
+MOST_PIECES = 400_000  # in each of two generations
 MOST_TRANSITIONS = 400_000
 
 
@@ -78,7 +78,7 @@ class Transducer:
     """Bytes in, token ids out. ``encode`` runs it over one piece.
 
     A state is a tuple of (token before, trie node) possibilities, the oldest first; the one at the
-    root, if any, has just ended a token. ``moves[state][byte]`` is (token that ends here or -1, next state).
+    root, if any, has just ended a token. ``moves[state << 8 | byte]`` is (token that ends here or -1, next state).
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -105,15 +105,13 @@ class Transducer:
         """Forget all states and transitions. State 0 is the start."""
         self.states = [((-1, 0),)]
         self.number = {self.states[0]: 0}
-        self.moves: list[dict[int, tuple[int, int]]] = [{}]
-        self.n_moves = 0
+        self.moves: dict[int, tuple[int, int]] = {}
 
     def state_of(self, key: tuple) -> int:
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-            self.moves.append({})
         return to
 
     def split(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -161,19 +159,21 @@ class Transducer:
 
     def _next(self, state: int, byte: int) -> tuple[int, int]:
         """Determinise one transition."""
-        child, token_at, inner, ends, live = self.child, self.token_at, self.inner, -1, []
+        child, token_at, inner, ending, live = self.child, self.token_at, self.inner, [], []
         for before, node in self.states[state]:
             to = child.get(node << 8 | byte)
             if to is not None:
                 t = token_at[to]
-                if t >= 0 and self.fits(before, t):
-                    ends = t  # no other token can end here: the BPE of what was read is unique
+                if t >= 0:
+                    ending.append((before, t))
                 if to in inner:
                     live.append((before, to))
+        # The BPE of what was read is unique and exists, so just one of these tokens ends it: the last one needs no test.
+        last = len(ending) - 1
+        ends = next((t for i, (before, t) in enumerate(ending) if i == last or self.fits(before, t)), -1)
         if ends >= 0:
             live.append((ends, 0))
-        move = self.moves[state][byte] = ends, self.state_of(tuple(live))
-        self.n_moves += 1
+        move = self.moves[state << 8 | byte] = ends, self.state_of(tuple(live))
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -182,22 +182,20 @@ class Transducer:
             return [whole]
         out: list[int] = []
         ended: list[int] = []  # the token that ends after each byte since the last one emitted
-        state, moves = 0, self.moves
-        for byte in piece:
-            move = moves[state].get(byte)
-            if move is None:
-                if self.n_moves >= MOST_TRANSITIONS:
-                    held = self.states[state]
-                    self.reset()
-                    moves, state = self.moves, self.state_of(held)
-                move = self._next(state, byte)
-            ended.append(move[0])
-            state = move[1]
-            if len(ended) >= LOOK_AHEAD:
+        state = 0
+        for at in range(0, len(piece), LOOK_AHEAD):
+            if len(self.moves) >= MOST_TRANSITIONS:
+                held = self.states[state]
+                self.reset()
+                state = self.state_of(held)
+            known, learn = self.moves.get, self._next
+            for byte in piece[at:at + LOOK_AHEAD]:
+                end, state = known(state << 8 | byte) or learn(state, byte)
+                ended.append(end)
+            if at + LOOK_AHEAD < len(piece):
                 final = self._settled(ended, self.states[state])
-                if final:
-                    out += self._path(ended[:final])
-                    del ended[:final]
+                out += self._path(ended[:final])
+                del ended[:final]
         return out + self._path(ended)
 
     def _settled(self, ended: list[int], live: tuple) -> int:
@@ -235,6 +233,25 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+class Pieces(dict):
+    """Token ids by piece. Short pieces are remembered, in two generations of bounded size."""
+
+    def __init__(self, machine: Transducer):
+        super().__init__()
+        self.machine, self.older = machine, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.machine.encode(piece.encode()))
+        if len(piece) <= SHORT:
+            if len(self) >= MOST_PIECES:
+                self.older = dict(self)  # for pieces that come back
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Texts to token ids."""
 
@@ -243,28 +260,14 @@ class Encoder:
 
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(ranks)
-        self.known: dict[str, tuple[list[int], str]] = {}
-        self.older: dict[str, tuple[list[int], str]] = {}  # the generation before, for pieces that come back
+        self.known = Pieces(self.machine)
+        self.decimal = {i: str(i) for i in ranks.values()}.__getitem__
 
-    def pieces(self, text: str) -> Iterator[list[tuple[list[int], str]]]:
-        """(ids, ids in decimal with commas) by piece, a list for each slice."""
-        encode = self.machine.encode
+    def ids(self, text: str) -> Iterator[list[int]]:
+        """Token ids, slice by slice."""
+        known = self.known.__getitem__
         for part in slices(text):
-            out, known = [], self.known
-            for piece in self.find(part):
-                made = known.get(piece)
-                if made is None:
-                    made = self.older.get(piece)
-                    if made is None:
-                        ids = encode(piece.encode())
-                        made = ids, ",".join(map(str, ids))
-                    if len(piece) <= SHORT:
-                        if len(known) >= MOST_PIECES:
-                            self.older, self.known = known, {}
-                            known = self.known
-                        known[piece] = made
-                out.append(made)
-            yield out
+            yield list(chain.from_iterable(map(known, self.find(part))))
 
 
 class Utf8Stream:
@@ -303,41 +306,35 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
     Map-only: no shuffle. The vocabulary (fixed size) is broadcast. Hashes are
     fed slice by slice, so a long text is never held as ids unless they are asked for.
     """
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(spark, ranks_path))
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids
-    keep = carried(docs, names)
-    rows = docs.select(*keep, docs["text"].alias("__text"))
+    small_batches(spark)
+    # A worker process keeps a broadcast's value from task to task, and with it what it has remembered.
+    sent = spark.sparkContext.broadcast({"ranks": read_ranks(spark, ranks_path), "encoder": None})
 
-    def run(batches):
-        encoder = Encoder(ranks.value, pattern)
+    def work(batches):
+        held = sent.value
+        encoder = held["encoder"] = held["encoder"] or Encoder(held["ranks"], pattern)
         stream = Utf8Stream(encoder.machine.bytes_of)
-        for b in batches:
-            counts, id_hashes, text_hashes, all_ids = [], [], [], []
-            for text in b.column("__text").to_pylist():
-                n, ids_sha, text_sha, ids = 0, hashlib.sha256(), hashlib.sha256(), []
-                for found in encoder.pieces(text or ""):
-                    flat = list(chain.from_iterable(map(itemgetter(0), found)))
-                    if flat:
-                        ids_sha.update(("," * (n > 0) + ",".join(map(itemgetter(1), found))).encode())
-                        n += len(flat)
-                    text_sha.update(stream.feed(flat).encode())
+        for texts, in batches:
+            counts, id_hashes, text_hashes, ends, all_ids = [], [], [], [0], array("i")
+            for text in texts.to_pylist():
+                n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+                for ids in encoder.ids(text or ""):
+                    if ids:
+                        ids_sha.update(("," * (n > 0) + ",".join(map(encoder.decimal, ids))).encode())
+                        n += len(ids)
+                    text_sha.update(stream.feed(ids).encode())
                     if with_ids:
-                        ids += flat
+                        all_ids.extend(ids)
                 text_sha.update(stream.end().encode())
                 counts.append(n)
                 id_hashes.append(ids_sha.hexdigest())
                 text_hashes.append(text_sha.hexdigest())
-                all_ids.append(ids)
-            out = {c: (b.column(c), None) for c in b.schema.names if c != "__text"}
-            out |= {"n_tokens": (counts, pa.int64()), "ids_sha256": (id_hashes, pa.string()),
-                    "decoded_sha256": (text_hashes, pa.string())}
+                ends.append(len(all_ids))
+            out = [pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string())]
             if with_ids:
-                out["token_ids"] = (all_ids, pa.list_(pa.int32()))
-            yield batch_of(out)
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(all_ids, np.int32))))
+            yield None, out
 
-    schema = rows.drop("__text").withColumns(
-        {"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit("")}
-        | ({"token_ids": F.array().cast("array<int>")} if with_ids else {})).schema
-    return rows.mapInArrow(run, schema)
+    return extended(docs, [docs["text"]], "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+                    + ", token_ids array<int>" * with_ids, work)
