@@ -88,7 +88,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, log2_wo
         F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("lines").alias("__lines"))
     lines = F.split(F.coalesce(docs["text"], F.lit("")), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    # As an element of an array the lines are split once a document, not once for each line that stays.
+    both = F.array(F.struct(lines.alias("lines"), left.alias("left")))
+    kept = F.get(F.transform(both, lambda d: F.array_join(F.transform(d["left"], lambda i: F.get(d["lines"], i)), "\n")), F.lit(0))
     whole = F.col("__lines").isNull()
     joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__id"]) & (F.xxhash64(docs["text"]) == drops["__th"]),
                        "left")
