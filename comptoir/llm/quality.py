@@ -39,9 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from comptoir.llm.common import batch_of, carried, small_batches, stage, text_hash
+from comptoir.llm.common import batch_of, extended, small_batches, stage, text_hash
 
 DIMS = 1 << 18
 GRADES = 3
@@ -239,28 +238,21 @@ def score(docs: DataFrame, model: Model, keep_grade: int = KEEP_GRADE,
           keep_probability: float = KEEP_PROBABILITY) -> DataFrame:
     """``docs`` with ``expected_grade``, ``p_above_0``, ``p_above_1`` (tail probabilities) and ``keep``."""
     small_batches(docs.sparkSession)
-    names = ["expected_grade", "p_above_0", "p_above_1", "keep"]
-    rows = docs.select(*carried(docs, names), docs["text"].alias("__text"))
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
-    def run(batches):
+    def work(batches):
         weights, thresholds = sent.value
         made = Features(weights.size)
-        for b in batches:
+        for texts, in batches:
             scores = []
-            for text in b.column("__text").to_pylist():
+            for text in texts.to_pylist():
                 places, values = made.of(text)
                 scores.append(float(values @ weights[places]))
             tail = probabilities(np.array(scores), thresholds)
-            out = {c: (b.column(c), None) for c in b.schema.names if c != "__text"}
-            yield batch_of(out | {
-                "expected_grade": (pa.array(tail.sum(axis=1)), None), "p_above_0": (pa.array(tail[:, 0]), None),
-                "p_above_1": (pa.array(tail[:, 1]), None),
-                "keep": (pa.array(tail[:, keep_grade - 1] >= keep_probability), None)})
-
-    schema = T.StructType([f for f in rows.schema if f.name != "__text"]
-                          + [T.StructField(n, T.DoubleType()) for n in names[:3]] + [T.StructField("keep", T.BooleanType())])
-    return rows.mapInArrow(run, schema)
+            yield None, [pa.array(tail.sum(axis=1)), pa.array(tail[:, 0]), pa.array(tail[:, 1]),
+                         pa.array(tail[:, keep_grade - 1] >= keep_probability)]
+
+    return extended(docs, [docs["text"]], "expected_grade double, p_above_0 double, p_above_1 double, keep boolean", work)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
