@@ -6,7 +6,8 @@
 4. benchmark decontamination: the words of benchmark passages are cut out
 5. byte-level BPE: documents as token ids, with counts and digests
 
-The first four return the columns of ``documents``; ``n_chars`` follows the text.
+The first four return the columns of ``documents``; ``n_chars`` follows the text. Columns may have any names but
+``doc_id`` and ``text``: an operator sees only numbers for them.
 Empty tables give empty results; nulls are handled as each operator says.
 """
 
@@ -22,35 +23,50 @@ from comptoir.llm.common import stage, table
 from comptoir.llm.queries import tokenizer
 
 
-def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
-    """The columns of ``docs`` from ``changed``, with ``n_chars`` of the text as it is now (null text: as it was)."""
-    return changed.select(*(
-        F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-        .alias("n_chars") if c == "n_chars" else c for c in docs.columns))
+KEY = ("doc_id", "text")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns beside id and text under numbers, so that no operator's output takes the place of one."""
+    return docs.toDF(*(c if c in KEY else f"c{i}" for i, c in enumerate(docs.columns)))
+
+
+def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, by their names, from what an operator made of ``_numbered(docs)``."""
+    return rows.select(*_numbered(docs).columns).toDF(*docs.columns)
+
+
+def _edited(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """As ``_named``, with ``n_chars`` of the text as it is now (null text: as it was)."""
+    if "n_chars" in docs.columns:
+        c = _numbered(docs).columns[docs.columns.index("n_chars")]
+        n = F.coalesce(F.char_length("text").cast("long"), F.col(c)).cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn(c, n)
+    return _named(rows, docs)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # The ratings are of the documents as they come in, so the model is trained on them.
-    model = quality.train(docs, quality.grades(table(spark, sf_dir, "labels")))
-    return quality.score(docs, model).where("keep").select(*docs.columns)
+    model = quality.train(docs.select(*KEY), quality.grades(table(spark, sf_dir, "labels")))
+    return _named(quality.score(_numbered(docs), model).where("keep"), docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs, min_chars=20, min_docs=3)
+    kept = line_dedup.dedup_lines(_numbered(docs), min_chars=20, min_docs=3)
     text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("kept_text"))
-    return _like(docs, kept.withColumn("text", text))
+    return _edited(kept.withColumn("text", text), docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_per_component(docs, shingle_words=3, max_bits=3)
+    return _named(simhash.one_per_component(_numbered(docs), shingle_words=3, max_bits=3), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _like(docs, decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")))
+    return _edited(decontam.decontaminate(_numbered(docs), table(spark, sf_dir, "benchmark")), docs)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, *tokenizer(), with_ids=True).select(
+    return bpe.encode_decode(docs.select(*KEY), *tokenizer(), with_ids=True).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids")
 
 
@@ -62,8 +78,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte-level BPE encoding and decoding", tokens_stage),
 ]
 
-#: A trained classifier and a tokenizer are not SQL. No test compares run() as a whole with a brute-force version: tests/llm
-#: compares the operators of the stages after the classifier one by one, and near_dedup_stage on rows with hard ids.
+#: A trained classifier and a tokenizer are not SQL. tests/llm compares the stages after the classifier, one after the other,
+#: with a plain Python version, the classifier's decisions with the formula given the trained model.
 ORACLE_SQL = None
 
 
