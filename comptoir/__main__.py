@@ -1,14 +1,16 @@
-"""Command line: one refresh cycle, the continuous refresh, one report, or health from the run log.
+"""Command line: one refresh cycle, the continuous refresh, a ledger, one report, or health from the run log.
 
   python -m comptoir cycle  --replica PATH --out PATH [--settings PATH] [--registry PATH] [--cycle-no N]
                             [--parallel-reports N] [--check-contract]
   python -m comptoir stream --changes PATH --replica PATH --out PATH [--settings PATH] [--interval "60 seconds"]
                             [--available-now] [--registry PATH] [--checkpoint PATH]
+  python -m comptoir ledger --replica PATH --out PATH [--buckets N] [--period yyyy-MM]
   python -m comptoir report NAME --replica PATH [--rows N]
   python -m comptoir health --out PATH [--rows N]
 
 Paths may be any Hadoop file system URI. The settings table (tenant_id, module_key, is_enabled) is
-parquet; without it every report is on for every tenant.
+parquet; without it every report is on for every tenant. ``ledger`` stores a replica so that lines meet their headers without a
+shuffle; ``cycle``, ``stream`` and ``report`` read it with ``--ledger``.
 """
 
 from __future__ import annotations
@@ -27,6 +29,14 @@ def _settings(spark, path):
     return spark.createDataFrame([], SETTINGS_SCHEMA)
 
 
+def _load(a):
+    """What reads ``--replica``: a ledger's tables or a plain replica's."""
+    from comptoir.sources.ledger import open_ledger
+    from comptoir.sources.replica import load_replica
+
+    return open_ledger if a.ledger else load_replica
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="comptoir")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -54,6 +64,13 @@ def main(argv: list[str] | None = None) -> int:
     h = sub.add_parser("health")
     h.add_argument("--out", required=True)
     h.add_argument("--rows", type=int, default=20)
+    for x in (c, s, r):
+        x.add_argument("--ledger", action="store_true", help="the replica is stored as a ledger (python -m comptoir ledger)")
+    w = sub.add_parser("ledger")
+    w.add_argument("--replica", required=True)
+    w.add_argument("--out", required=True)
+    w.add_argument("--buckets", type=int)
+    w.add_argument("--period", default="yyyy-MM")
     a = p.parse_args(argv)
 
     from comptoir.session import build_session
@@ -61,9 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     if a.cmd == "cycle":
         from comptoir.plans.cycle import refresh_cycle
-        from comptoir.sources.replica import load_replica
 
-        res = refresh_cycle(spark, lambda: load_replica(spark, a.replica), a.out, a.cycle_no,
+        res = refresh_cycle(spark, lambda: _load(a)(spark, a.replica), a.out, a.cycle_no,
                             lambda: _settings(spark, a.settings),
                             registry_path=a.registry, parallel_reports=a.parallel_reports,
                             check_contract=a.check_contract)
@@ -76,15 +92,26 @@ def main(argv: list[str] | None = None) -> int:
 
         q = refresh_stream(spark, a.changes, a.replica, a.out, lambda: _settings(spark, a.settings),
                            interval=a.interval, available_now=a.available_now, registry_path=a.registry,
-                           checkpoint=a.checkpoint)
+                           checkpoint=a.checkpoint, load=_load(a))
         q.awaitTermination()
         return 0
     if a.cmd == "report":
-        from comptoir.operators.reports import report
+        from comptoir.operators.reports import helper_columns, report
         from comptoir.plans.base import Base
+        from comptoir.plans.latest import LATEST, latest_report
+
+        base = Base(_load(a)(spark, a.replica))
+        if a.ledger and a.name in LATEST:  # the latest documents are found without the history
+            found = latest_report(a.name, base)
+            found.drop(*helper_columns(found)).show(a.rows, truncate=False)
+        else:
+            report(a.name, base).show(a.rows, truncate=False)
+        return 0
+    if a.cmd == "ledger":
+        from comptoir.sources.ledger import write_ledger
         from comptoir.sources.replica import load_replica
 
-        report(a.name, Base(load_replica(spark, a.replica))).show(a.rows, truncate=False)
+        write_ledger(load_replica(spark, a.replica), a.out, a.buckets, a.period)
         return 0
     if a.cmd == "health":
         from comptoir.operators.health import retry_schedule, sync_health
@@ -92,8 +119,8 @@ def main(argv: list[str] | None = None) -> int:
 
         log, cycles = read_run_log(spark, a.out)
         h = sync_health(log, cycles)
-        sched = retry_schedule(h).select("tenant_id", "cycle_no", "streak", "wait_s")
-        (h.join(sched, ["tenant_id", "cycle_no"]).orderBy(F.col("cycle_no").desc(), "tenant_id")
+        sched = retry_schedule(h).select("tenant_id", "run_id", "streak", "wait_s")
+        (h.join(sched, ["tenant_id", "run_id"]).orderBy(F.col("reported_at").desc(), "tenant_id")
          .show(a.rows, truncate=60))
         return 0
     return 2

@@ -9,7 +9,7 @@ snapshot JSON); ``comptoir.operators.reports.report`` gives the typed form.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +18,15 @@ from comptoir.functions.publish import published
 from comptoir.operators.gate import module_gate
 from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_health
 from comptoir.operators.registry import upsert_registry
-from comptoir.operators.reports import REPORTS, ordered_report, report
+from comptoir.operators.reports import REPORTS, helper_columns, ordered_report, report
 from comptoir.plans.base import Base
+from comptoir.plans.cycle import read_run_log, refresh_cycle
+from comptoir.plans.incremental import MaintainedSums
+from comptoir.plans.latest import latest_report
 from comptoir.session import scratch_path
 from comptoir.sinks.snapshot import replace_snapshot, snapshot_payload
 from comptoir.sources import fixtures as fx
+from comptoir.sources.ledger import open_ledger, write_ledger
 from comptoir.sources.replica import check_keys, conform
 
 
@@ -73,6 +77,70 @@ def q_check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_keys(fx.landed_twice(fx.replica_from_testdata(spark, sf_dir)))
 
 
+_LEDGERS: dict[tuple[str, str], str] = {}
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The test tables as a ledger, stored once an application and folder, by years as they are small."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LEDGERS:
+        path = scratch_path(spark, "queries", "ledger")
+        write_ledger(fx.replica_from_testdata(spark, sf_dir), path, period="yyyy")
+        _LEDGERS[key] = path
+    return open_ledger(spark, _LEDGERS[key])
+
+
+def q_ledger_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, header-line join over buckets: documents, lines and amounts by tenant, type and day."""
+    sums = Base(_ledger(spark, sf_dir)).doc_sums()
+    return published(sums.groupBy("tenant_id", "DO_Type", F.to_date("DO_Date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_documents"), F.sum("n_lines").alias("n_lines"),
+        F.sum("amount").cast("decimal(38,6)").alias("amount")))
+
+
+def _latest_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of latest documents over the ledger, without reading the history of lines."""
+    df = latest_report(key, Base(_ledger(spark, sf_dir)))
+    return published(df.drop(*helper_columns(df)))
+
+
+def _maintained(spark: SparkSession, sf_dir: str) -> tuple[MaintainedSums, dict[str, DataFrame]]:
+    sums = MaintainedSums(spark, scratch_path(spark, "queries", "maintained"), slots=8)
+    for wave, (replica, changed) in enumerate(fx.waves(fx.replica_from_testdata(spark, sf_dir))):
+        sums.apply(replica, changed, wave)
+    return sums, replica
+
+
+def q_maintained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5: item sums kept up to date through two waves of new, altered and deleted documents."""
+    sums, _ = _maintained(spark, sf_dir)
+    return published(sums.item_sales().withColumns({c: F.col(c).cast("decimal(38,2)") for c in ("qty", "price_sum")}
+                                                   | {"amount": F.col("amount").cast("decimal(38,6)")}))
+
+
+def q_maintained_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5: the report of the best customers from document sums kept up to date through the same waves."""
+    sums, replica = _maintained(spark, sf_dir)
+    return published(report("top_clients", sums.base(replica)))
+
+
+def q_refresh_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5: two cycles over the ledger, the first without tenant T2; rows of every snapshot by tenant and report, and how many cycles the log has."""
+    out, settings = scratch_path(spark, "queries", "cycle"), fx.settings_fixture(spark)
+    replica = _ledger(spark, sf_dir)
+    some = fx.tenants_of(replica).where("tenant_id <> 'T2'")
+    refresh_cycle(spark, {n: df.join(some, "tenant_id", "left_semi") for n, df in replica.items()}, out, None, settings)
+    result = refresh_cycle(spark, replica, out, None, settings)
+    if result.cycle_error or any(error for _, _, error, _ in result.outcomes):
+        raise RuntimeError(f"{result.cycle_error} {result.outcomes}")
+    _, cycles = read_run_log(spark, out)
+    runs = cycles.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("n_cycles"))
+    rows = [spark.read.schema("tenant_id string").parquet(f"{out}/{spec.table}/rows").select(
+        "tenant_id", F.lit(key).alias("module_key")) for key, spec in REPORTS.items()]
+    return (reduce(DataFrame.unionByName, rows).groupBy("tenant_id", "module_key").agg(F.count(F.lit(1)).alias("n_rows"))
+            .join(runs, "tenant_id"))
+
+
 def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = fx.replica_from_testdata(spark, sf_dir)
     return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
@@ -103,6 +171,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_replace": q_snapshot_replace,
     "conform": q_conform,
     "check_keys": q_check_keys,
+    "ledger_sums": q_ledger_sums,
+    **{f"latest_{key}": partial(_latest_query, key) for key in ("sales", "mouvements", "impayees")},
+    "maintained_items": q_maintained_items,
+    "maintained_clients": q_maintained_clients,
+    "refresh_cycle": q_refresh_cycle,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,
     "retry_schedule": q_retry_schedule,

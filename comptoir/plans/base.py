@@ -3,8 +3,8 @@
 Eleven of the fifteen reports start from the same header-line join, and four
 of them from the same per-item sales aggregate. ``Base`` builds these once,
 lazily, from the replica; a refresh cycle (``plans.cycle``) materializes the
-two aggregates under the shared checkpoint folder, so the join runs for them
-and for the movement lines instead of once per report.
+two aggregates under the shared checkpoint folder, so the join runs once
+instead of once per report.
 
 Data contract (see ``schemas``): the header key (tenant_id, DO_Piece, DO_Type)
 is unique, as are parties by (tenant_id, CT_Num), items by (tenant_id, AR_Ref)
@@ -15,6 +15,7 @@ top-N cut, on at most N rows per tenant.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +40,28 @@ class Base:
     def headers(self) -> DataFrame:
         return self.replica["F_DOCENTETE"].select(*DOC_COLS)
 
+    @property
+    def co_partitioned(self) -> bool:
+        """Whether headers and lines come from a ledger, where their join moves no rows."""
+        return "period" in self.replica["F_DOCLIGNE"].columns
+
+    def line_tables(self) -> list[DataFrame]:
+        """The lines, in one table or, with a ledger's hot documents stored apart, in two that share no document."""
+        return [self.replica[t] for t in ("F_DOCLIGNE", "HOT_LINES") if t in self.replica]
+
     def line_facts(self) -> DataFrame:
         """Lines with their header's date and party: the inner header-line join.
 
-        Inner, so AQE may split a skewed document key on either side.
+        Inner, so AQE may split a skewed document key on either side. Over a ledger's buckets neither side is shuffled.
         """
         if "line_facts" in self.materialized:
             return self.materialized["line_facts"]
-        lines = self.replica["F_DOCLIGNE"].select(*DOC_KEY, *LINE_COLS)
-        return lines.join(self.headers(), DOC_KEY, "inner")
+        return reduce(DataFrame.unionByName, self._line_facts())
+
+    def _line_facts(self) -> list[DataFrame]:
+        if "line_facts" in self.materialized:
+            return [self.materialized["line_facts"]]
+        return [t.select(*DOC_KEY, *LINE_COLS).join(self.headers(), DOC_KEY, "inner") for t in self.line_tables()]
 
     def doc_sums(self) -> DataFrame:
         """One row per document that has lines: amount total and line count.
@@ -57,8 +71,9 @@ class Base:
         """
         if "doc_sums" in self.materialized:
             return self.materialized["doc_sums"]
-        return (self.line_facts().groupBy(*DOC_COLS)
-                .agg(F.sum("DL_MontantTTC").alias("amount"), F.count(F.lit(1)).alias("n_lines")))
+        return reduce(DataFrame.unionByName, (
+            facts.groupBy(*DOC_COLS).agg(F.sum("DL_MontantTTC").alias("amount"), F.count(F.lit(1)).alias("n_lines"))
+            for facts in self._line_facts()))
 
     def docs(self, types) -> DataFrame:
         """Documents of ``types`` with lines (the header-line inner join, per document)."""
@@ -103,6 +118,8 @@ class Base:
 
     def payer_totals(self) -> DataFrame:
         """Per (tenant, payer): payment total and number of payment rows."""
+        if "payer_totals" in self.materialized:
+            return self.materialized["payer_totals"]
         return (self.payments().groupBy("tenant_id", "CT_NumPayeur")
                 .agg(F.sum("RG_Montant").alias("paid"), F.count(F.lit(1)).alias("n_payments")))
 

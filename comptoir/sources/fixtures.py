@@ -191,3 +191,30 @@ def landed_twice(replica: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The replica with some headers, parties and payments delivered a second time."""
     again = {"F_DOCENTETE": "DO_Type = 17", "F_COMPTET": "CT_Num LIKE '%5'", "F_CREGLEMENT": "CA_No = 6"}
     return replica | {name: replica[name].unionByName(replica[name].where(cond)) for name, cond in again.items()}
+
+
+def _piece_digit() -> str:
+    return "CAST(substr(DO_Piece, 2) AS INT) % 10"
+
+
+def waves(replica: dict[str, DataFrame]) -> list[tuple[dict[str, DataFrame], DataFrame | None]]:
+    """The replica as three deliveries leave it, and the documents that each changed (None: all).
+
+    The last digit d of a piece number decides. First delivery: all but d = 3. Second: 3 is new, 4 deleted, 5 altered (lines
+    and header). Third: 4 is back with another text, 5's lines are as at first, 6 has lost its lines without text.
+    """
+    d, heads, lines = _piece_digit(), replica["F_DOCENTETE"], replica["F_DOCLIGNE"]
+    altered = heads.withColumns({
+        "DO_Date": F.expr(f"CASE WHEN {d} = 5 THEN DO_Date + INTERVAL 1 DAY ELSE DO_Date END"),
+        "DO_Tiers": F.expr(f"CASE WHEN {d} = 5 THEN 'C000001' ELSE DO_Tiers END")})
+    second = lines.where(f"{d} <> 4").withColumns({
+        "DL_Qte": F.expr(f"CASE WHEN {d} = 5 THEN CAST(DL_Qte + 1 AS DECIMAL(12,2)) ELSE DL_Qte END"),
+        "DL_MontantTTC": F.expr(f"CASE WHEN {d} = 5 THEN CAST(DL_MontantTTC * 2 AS DECIMAL(18,6)) ELSE DL_MontantTTC END"),
+        "AR_Ref": F.expr(f"CASE WHEN {d} = 5 THEN coalesce(AR_Ref, 'A000001') ELSE AR_Ref END")})
+    third = lines.where(f"NOT ({d} = 6 AND DL_Design IS NULL)").withColumn(
+        "DL_Design", F.expr(f"CASE WHEN {d} = 4 THEN 'returned' ELSE DL_Design END"))
+    key = ["tenant_id", "DO_Piece", "DO_Type"]
+    return [
+        (replica | {"F_DOCENTETE": heads.where(f"{d} <> 3"), "F_DOCLIGNE": lines.where(f"{d} <> 3")}, None),
+        (replica | {"F_DOCENTETE": altered.where(f"{d} <> 4"), "F_DOCLIGNE": second}, heads.where(f"{d} IN (3, 4, 5)").select(*key)),
+        (replica | {"F_DOCENTETE": altered, "F_DOCLIGNE": third}, heads.where(f"{d} IN (4, 5, 6)").select(*key))]

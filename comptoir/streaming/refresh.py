@@ -8,7 +8,8 @@ tenant_id over tenant-partitioned parquet), and replaces their snapshots.
 
 Per-tenant top-N is not expressible on a streaming DataFrame (only time
 windows are), so the work happens in ``foreachBatch`` on static DataFrames.
-The batch id is the cycle number; the query's checkpoint (under the shared
+The batch id is the cycle number, and the query's id with it the run id: a new checkpoint is a
+new query, whose batches hide no earlier cycle. The checkpoint (under the shared
 checkpoint folder by default) makes a restarted query resume after the last
 completed batch. Snapshot writes replace partitions, so a batch run twice
 after a failure leaves the same result.
@@ -46,11 +47,13 @@ def stream_checkpoint(spark: SparkSession, out_root: str) -> str:
 def refresh_stream(spark: SparkSession, changes_path: str, replica_path: str, out_root: str,
                    settings, interval: str | None = DEFAULT_INTERVAL, available_now: bool = False,
                    checkpoint: str | None = None, registry_path: str | None = None,
-                   modules: list[str] = MODULE_KEYS, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                   modules: list[str] = MODULE_KEYS, max_files_per_trigger: int | None = None,
+                   load=load_replica) -> StreamingQuery:
     """Start the refresh query; ``available_now`` processes what has landed and stops (tests, catch-up).
 
     ``settings`` is a table or a function that reads it, called for every batch. The default checkpoint
-    belongs to ``out_root``: started again for the same output, the query goes on where it stopped.
+    belongs to ``out_root``: started again for the same output, the query goes on where it stopped. ``load`` reads the
+    replica: :func:`~comptoir.sources.replica.load_replica`, or :func:`~comptoir.sources.ledger.open_ledger`.
     """
     ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(CHANGES_SCHEMA)
@@ -62,10 +65,13 @@ def refresh_stream(spark: SparkSession, changes_path: str, replica_path: str, ou
         touched = batch.select("tenant_id").where(F.col("tenant_id").isNotNull()).distinct().checkpoint()
         if touched.isEmpty():
             return
-        refresh_cycle(spark, lambda: load_replica(spark, replica_path, tenants=touched), out_root, batch_id, settings, tenants=touched, modules=modules,
-                      registry_path=registry_path)
+        # Set by the query that runs the batch; it stays the same as long as the checkpoint does.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or where
+        refresh_cycle(spark, lambda: load(spark, replica_path, tenants=touched), out_root, batch_id, settings,
+                      tenants=touched, modules=modules, registry_path=registry_path, run_id=f"stream-{query}-{batch_id}")
 
+    where = checkpoint or stream_checkpoint(spark, out_root)
     w = (changes.writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint or stream_checkpoint(spark, out_root)))
+         .option("checkpointLocation", where))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

@@ -135,3 +135,37 @@ def test_stream_one_file_per_batch(spark, scratch):
     q.awaitTermination()
     log, cycles = read_run_log(spark, out)
     assert sorted((r.cycle_no, r.tenant_id) for r in cycles.collect()) == [(0, "A"), (1, "B")]
+
+
+def test_runs_are_told_apart_by_their_id_not_their_number(spark, scratch):
+    """Two runs in one second, a number used twice, and a stream whose new checkpoint numbers its batches from 0 again."""
+    from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_health
+    from comptoir.operators.registry import read_registry, write_registry
+
+    settings = spark.createDataFrame([], "tenant_id string, module_key string, is_enabled boolean")
+    out, rep_path, changes = f"{scratch}/out", f"{scratch}/replica", f"{scratch}/changes"
+    rep = replica(spark)
+    write_replica(rep, rep_path)
+
+    def fails():
+        raise OSError("not reachable")
+
+    only = spark.createDataFrame([("A",)], "tenant_id string")
+    one = dict(modules=["caisse"], tenants=only)
+    refresh_cycle(spark, fails, out, 12, settings, **one)  # an error ...
+    refresh_cycle(spark, fails, out, 12, settings, **one)  # ... that is run again under its number
+    for _ in range(2):  # two runs that both would be number 9
+        refresh_cycle(spark, fails, out, 9, settings, run_id=f"r{_}", **one)
+    spark.createDataFrame([("A", "F_CREGLEMENT", dt.datetime(2024, 1, 1))], CHANGES_SCHEMA).write.parquet(changes)
+    for ckpt in ("c1", "c2"):
+        refresh_stream(spark, changes, rep_path, out, settings, available_now=True, checkpoint=f"{scratch}/{ckpt}",
+                       modules=["caisse"]).awaitTermination()
+    log, cycles = read_run_log(spark, out)
+    assert sorted(r.cycle_no for r in cycles.collect()) == [0, 0, 9, 9, 12]
+    assert cycles.select("run_id").distinct().count() == 5 and log.count() == 2
+    health = sync_health(log, cycles)
+    got = [(r.cycle_no, r.status, r.streak) for r in retry_schedule(health).join(
+        cycles.select("run_id", "started_at"), "run_id").orderBy("started_at").collect()]
+    assert got == [(12, "error", 1), (9, "error", 2), (9, "error", 3), (0, "active", 0), (0, "active", 0)]
+    write_registry(spark.createDataFrame([("A", "hw", "error", dt.datetime(2024, 1, 1), 5, "old")], REGISTRY_SCHEMA), f"{scratch}/reg")
+    assert merge_heartbeat(read_registry(spark, f"{scratch}/reg"), health).first().status == "active"
