@@ -96,14 +96,14 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
         return 0
     if a.cmd == "report":
-        from comptoir.operators.reports import helper_columns, report
+        from comptoir.operators.reports import helper_columns, report, strict
         from comptoir.plans.base import Base
         from comptoir.plans.latest import LATEST, latest_report
 
         base = Base(_load(a)(spark, a.replica))
         if a.ledger and a.name in LATEST:  # the latest documents are found without the history
             found = latest_report(a.name, base)
-            found.drop(*helper_columns(found)).show(a.rows, truncate=False)
+            strict(found).drop(*helper_columns(found)).show(a.rows, truncate=False)
         else:
             report(a.name, base).show(a.rows, truncate=False)
         return 0

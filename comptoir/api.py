@@ -18,7 +18,7 @@ from comptoir.functions.publish import published
 from comptoir.operators.gate import module_gate
 from comptoir.operators.health import merge_heartbeat, retry_schedule, sync_health
 from comptoir.operators.registry import upsert_registry
-from comptoir.operators.reports import REPORTS, helper_columns, ordered_report, report
+from comptoir.operators.reports import REPORTS, helper_columns, ordered_report, report, strict
 from comptoir.plans.base import Base
 from comptoir.plans.cycle import read_run_log, refresh_cycle
 from comptoir.plans.incremental import MaintainedSums
@@ -101,7 +101,7 @@ def q_ledger_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _latest_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report of latest documents over the ledger, without reading the history of lines."""
     df = latest_report(key, Base(_ledger(spark, sf_dir)))
-    return published(df.drop(*helper_columns(df)))
+    return published(strict(df).drop(*helper_columns(df)))
 
 
 def _maintained(spark: SparkSession, sf_dir: str) -> tuple[MaintainedSums, dict[str, DataFrame]]:

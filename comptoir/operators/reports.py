@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,19 +26,64 @@ from comptoir.functions.topn import RANK, top_n
 from comptoir.plans.base import SALES_TYPES, Base
 
 
-def _dec(c: Column | str, p: int, s: int) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast(f"decimal({p},{s})")
+#: Helper column: the row has an amount that its published type can't hold.
+OVERFLOW = "_x"
+OVERFLOW_TEXT = "arithmetic overflow: an amount exceeds its published type"
 
 
-def _six(x: Column) -> Column:
-    """A ratio rounded to 6 decimals, as DECIMAL(38,6) (the scale of a decimal mean)."""
-    return F.round(x, 6).cast("decimal(38,6)")
+class Dec(NamedTuple):
+    """An output column: ``source`` as DECIMAL(p, s)."""
 
+    source: Column | str
+    p: int
+    s: int
+    name: str
 
-def _avg6(total: Column, n: Column) -> Column:
-    """Mean of an exact decimal total over ``n`` rows, to 6 decimals."""
-    return _six(total.cast("double") / n.cast("double"))
+    def value(self) -> Column:
+        return self.column().try_cast(f"decimal({self.p},{self.s})")
+
+    def column(self) -> Column:
+        return F.col(self.source) if isinstance(self.source, str) else self.source
+
+    def lost(self) -> Column:
+        return self.column().isNotNull() & self.value().isNull()
+
+
+def _rows(df: DataFrame, *columns, lost: Column | None = None) -> DataFrame:
+    """The output columns, and whether one of the amounts does not fit (``lost``: or one computed on the way did not).
+
+    In the source such an amount fails the report of its merchant, and of no other.
+    """
+    amounts = [c for c in columns if isinstance(c, Dec)]
+    flags = [c.lost() for c in amounts] + ([lost] if lost is not None else [])
+    return df.select(*(c.value().alias(c.name) if isinstance(c, Dec) else c for c in columns),
+                     (reduce(Column.__or__, flags) if flags else F.lit(False)).alias(OVERFLOW))
+
+
+def strict(df: DataFrame) -> DataFrame:
+    """The report's rows, an error if one of them has an amount that does not fit."""
+    fits = F.when(F.col(OVERFLOW), F.raise_error(F.concat(F.lit(f"{OVERFLOW_TEXT}, tenant "), F.col("tenant_id"))).cast("boolean"))
+    return df.where(fits.otherwise(F.lit(True))).drop(OVERFLOW)
+
+
+def quotient6(a: Column, b: Column) -> Column:
+    """a / b to 6 decimals, half up, as DECIMAL(38,6): exact for totals of up to 30 digits, null for b = 0.
+
+    Long division in whole numbers: the remainder of each step is exact, so no digit depends on a double.
+    """
+    x, y = F.abs(a), F.nullif(F.abs(b), F.lit(0))
+    rest = x % y
+    whole = ((x - rest) / y).cast("decimal(38,0)")
+    scaled = rest.cast("decimal(31,6)") * F.lit("1000000").cast("decimal(7,0)")
+    over = scaled % y
+    part = ((scaled - over) / y).cast("decimal(7,0)") + F.when(over * 2 >= y, 1).otherwise(0).cast("decimal(1,0)")
+    size = whole + part.cast("decimal(8,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    return F.when((a < 0) != (b < 0), -size).otherwise(size).cast("decimal(38,6)")
+
+
+def _product(a: Column, times: Column, scale: int) -> Column:
+    """An exact total times a count, null if it exceeds 38 digits."""
+    return F.try_multiply(a.try_cast(f"decimal(38,{scale})"), times.cast("decimal(20,0)")).try_cast(f"decimal(38,{scale})")
 
 
 def _with_name(df: DataFrame, base: Base, key: str, fallback: str, alias: str, n: int) -> DataFrame:
@@ -53,13 +100,13 @@ def sales(base: Base, n: int = 200) -> DataFrame:
     d = top_n(base.docs(SALES_TYPES),
               [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").desc_nulls_last(), F.col("DO_Type")], n)
     d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_CUSTOMER, "NomClient", n)
-    return d.select(
-        "tenant_id",
+    return _rows(
+        d, "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),
         dmy(F.col("DO_Date")).alias("DateFacture"),
         F.col("DO_Tiers").alias("CodeClient"),
         "NomClient",
-        _dec("amount", 18, 2).alias("MONTANT_TTC"),
+        Dec("amount", 18, 2, "MONTANT_TTC"),
         LB.code_label(F.col("DO_Type"), LB.SALES_TYPE_LABELS, LB.type_as_text(F.col("DO_Type"))).alias("TypeDoc"),
         RANK)
 
@@ -70,13 +117,13 @@ def achats(base: Base, n: int = 100) -> DataFrame:
     d = top_n(base.docs([LB.PURCHASE_INVOICE]),
               [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").desc_nulls_last()], n)
     d = _with_name(d, base, "DO_Tiers", LB.UNKNOWN_SUPPLIER, "NomFournisseur", n)
-    return d.select(
-        "tenant_id",
+    return _rows(
+        d, "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),
         dmy(F.col("DO_Date")).alias("DateFacture"),
         F.col("DO_Tiers").alias("CodeFournisseur"),
         "NomFournisseur",
-        _dec("amount", 18, 2).alias("MONTANT_TTC"),
+        Dec("amount", 18, 2, "MONTANT_TTC"),
         F.lit(LB.PURCHASE_LABEL).alias("TypeDoc"),
         RANK)
 
@@ -89,15 +136,15 @@ def caisse(base: Base, n: int = 200) -> DataFrame:
     tills = base.table("F_CAISSE").select("tenant_id", "CA_No", "CA_Intitule")
     p = p.join(tills, ["tenant_id", "CA_No"], "left")
     amount = F.col("RG_Montant")
-    return p.select(
-        "tenant_id",
+    return _rows(
+        p, "tenant_id",
         F.col("RG_No").alias("NUM_REGLEMENT"),
         dmy(F.col("RG_Date")).alias("DATE_MVT"),
         "NOM_TIERS",
         F.col("RG_Libelle").alias("LIBELLE_MVT"),
         F.coalesce(F.col("CA_Intitule"), F.lit(LB.MAIN_TILL)).alias("NOM_CAISSE"),
-        _dec(F.when(F.col("RG_Type") == 0, amount).otherwise(F.lit(0)), 14, 2).alias("ENTREE_CAISSE"),
-        _dec(F.when(F.col("RG_Type") == 1, amount).otherwise(F.lit(0)), 14, 2).alias("SORTIE_CAISSE"),
+        Dec(F.when(F.col("RG_Type") == 0, amount).otherwise(F.lit(0)), 14, 2, "ENTREE_CAISSE"),
+        Dec(F.when(F.col("RG_Type") == 1, amount).otherwise(F.lit(0)), 14, 2, "SORTIE_CAISSE"),
         payment_mode_label(F.col("N_Reglement")).alias("MODE_REGLEMENT"),
         RANK)
 
@@ -107,8 +154,8 @@ def stock(base: Base) -> DataFrame:
     """Every stock row with a non-zero quantity (one row per stock row, not summed)."""
     s = base.table("F_ARTSTOCK").where(F.col("AS_QteSto") != 0)
     s = s.join(base.items().select("tenant_id", "AR_Ref", "AR_Design"), ["tenant_id", "AR_Ref"], "inner")
-    return s.select(
-        "tenant_id",
+    return _rows(
+        s, "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),
         F.col("AR_Design").alias("LibelleArticle"),
         F.col("AS_QteSto").alias("QuantiteStock"),
@@ -120,12 +167,12 @@ def stock(base: Base) -> DataFrame:
 def top_articles(base: Base, n: int = 20) -> DataFrame:
     """Items with the highest sales amount (lines without item form one group)."""
     t = top_n(base.item_sales(), [F.col("amount").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
-    return t.select(
-        "tenant_id",
+    return _rows(
+        t, "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),
         F.col("text_or_default").alias("LibelleArticle"),
-        _dec("qty", 22, 2).alias("QuantiteVendue"),
-        _dec("amount", 28, 6).alias("MontantVendu"),
+        Dec("qty", 22, 2, "QuantiteVendue"),
+        Dec("amount", 28, 6, "MontantVendu"),
         RANK)
 
 
@@ -142,11 +189,11 @@ def top_clients(base: Base, n: int = 20) -> DataFrame:
                  .agg(F.sum("amount").alias("amount"), F.count("DO_Piece").alias("n_pieces")))
     t = top_n(per_party, [F.col("amount").desc_nulls_last(), F.col("DO_Tiers").asc_nulls_first()], n)
     t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient", n)
-    return t.select(
-        "tenant_id",
+    return _rows(
+        t, "tenant_id",
         F.col("DO_Tiers").alias("CodeClient"),
         "NomClient",
-        _dec("amount", 28, 6).alias("CA_Total"),
+        Dec("amount", 28, 6, "CA_Total"),
         F.col("n_pieces").alias("NbFactures"),
         RANK)
 
@@ -161,11 +208,11 @@ def evolution_ca(base: Base) -> DataFrame:
     per_time = base.docs(SALES_TYPES).groupBy("tenant_id", "DO_Date").agg(F.sum("amount").alias("amount"))
     per_time = per_time.withColumn("day", F.to_date("DO_Date"))
     d = per_time.join(base.day_receipts(), ["tenant_id", "day"], "left")
-    return d.select(
-        "tenant_id",
+    return _rows(
+        d, "tenant_id",
         iso_day(F.col("DO_Date")).alias("DateJour"),
-        _dec("amount", 18, 2).alias("CA_Jour"),
-        _dec(F.coalesce(F.col("received"), F.lit(0)), 24, 2).alias("Encaisse_Jour"),
+        Dec("amount", 18, 2, "CA_Jour"),
+        Dec(F.coalesce(F.col("received"), F.lit(0)), 24, 2, "Encaisse_Jour"),
         F.col("DO_Date").alias("_o1"))
 
 
@@ -176,12 +223,12 @@ def rotation(base: Base, n: int = 20) -> DataFrame:
     t = top_n(s, [F.col("qty").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
     keys = ["tenant_id", "AR_Ref"]
     t = t.join(base.items().select(*keys, "AR_Design"), keys, "left")
-    return t.select(
-        "tenant_id",
+    return _rows(
+        t, "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),
         F.coalesce(F.col("AR_Design"), F.col("max_design")).alias("Libelle"),
-        _dec("qty", 22, 2).alias("QuantiteVendue"),
-        _avg6(F.col("amount"), F.nullif(F.col("qty"), F.lit(0))).alias("PrixMoyen"),
+        Dec("qty", 22, 2, "QuantiteVendue"),
+        quotient6(F.col("amount"), F.col("qty")).alias("PrixMoyen"),
         RANK)
 
 
@@ -189,10 +236,10 @@ def rotation(base: Base, n: int = 20) -> DataFrame:
 def mode_reglement(base: Base) -> DataFrame:
     """Payment total per payment-mode *code*; several codes may share the label 'Autre'."""
     g = base.payments().groupBy("tenant_id", "N_Reglement").agg(F.sum("RG_Montant").alias("total"))
-    return g.select(
-        "tenant_id",
+    return _rows(
+        g, "tenant_id",
         payment_mode_label(F.col("N_Reglement")).alias("ModeReglement"),
-        _dec("total", 24, 2).alias("TotalRegle"),
+        Dec("total", 24, 2, "TotalRegle"),
         F.col("total").alias("_o1"), F.col("N_Reglement").alias("_o2"))
 
 
@@ -205,13 +252,13 @@ def marge_brute(base: Base, n: int = 20) -> DataFrame:
     s = base.item_sales().where(F.col("AR_Ref").isNotNull())
     s = s.join(base.items().select("tenant_id", "AR_Ref", "AR_Design", "AR_PrixAch"), ["tenant_id", "AR_Ref"], "left")
     s = s.where(F.col("price_sum") > 0)
-    cost_sum = F.coalesce(F.col("AR_PrixAch"), F.lit(0)) * F.col("n_lines")
-    price = F.col("price_sum").cast("double") / F.col("price_n").cast("double")
-    cost = cost_sum.cast("double") / F.col("n_lines").cast("double")
-    s = s.select("*", _six(price).alias("p"), _six(cost).alias("c"), _six(price - cost).alias("m"))
+    # The mean of one cost over all lines of its item is that cost.
+    cost = F.coalesce(F.col("AR_PrixAch"), F.lit(0)).cast("decimal(38,6)")
+    s = s.withColumns({"p": quotient6(F.col("price_sum"), F.col("price_n").cast("decimal(20,0)")), "c": cost})
+    s = s.withColumn("m", (F.col("p") - F.col("c")).cast("decimal(38,6)"))
     t = top_n(s, [F.col("m").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
-    return t.select(
-        "tenant_id",
+    return _rows(
+        t, "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),
         F.coalesce(F.col("AR_Design"), F.col("max_design")).alias("Libelle"),
         F.col("p").alias("PrixVenteMoyen"),
@@ -235,7 +282,7 @@ def mouvements(base: Base, n: int = 200) -> DataFrame:
         F.col("DL_MontantTTC").alias("Montant"))
     order = [F.col("DO_Date").desc_nulls_last()] + [
         F.col(c).asc_nulls_first() for c in ("NumPiece", "CodeArticle", "LibelleArticle", "Quantite", "Sens", "Montant")]
-    return top_n(x, order, n).drop("DO_Date")
+    return top_n(x, order, n).drop("DO_Date").withColumn(OVERFLOW, F.lit(False))
 
 
 # -- R12 ---------------------------------------------------------------------
@@ -243,12 +290,12 @@ def dernieres_transac(base: Base, n: int = 50) -> DataFrame:
     """Latest documents of any type, with their total."""
     d = top_n(base.doc_sums(),
               [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").asc_nulls_first(), F.col("DO_Type")], n)
-    return d.select(
-        "tenant_id",
+    return _rows(
+        d, "tenant_id",
         dmy(F.col("DO_Date")).alias("Date"),
         F.col("DO_Piece").alias("Piece"),
         F.col("DO_Tiers").alias("Tiers"),
-        _dec("amount", 28, 6).alias("Montant"),
+        Dec("amount", 28, 6, "Montant"),
         LB.code_label(F.col("DO_Type"), LB.TRANSACTION_TYPE_LABELS, LB.type_as_text(F.col("DO_Type"))).alias("Type"),
         RANK)
 
@@ -265,11 +312,11 @@ def ca_famille(base: Base) -> DataFrame:
     s = s.join(base.items().select("tenant_id", "AR_Ref", "FA_CodeFamille"), ["tenant_id", "AR_Ref"], "left")
     s = s.join(fam, (s.tenant_id == fam.tenant_id) & (s.FA_CodeFamille == fam.fam_code), "left").drop(fam.tenant_id)
     g = s.groupBy("tenant_id", "fam_code", "fam_name").agg(F.sum("amount").alias("amount"))
-    return g.select(
-        "tenant_id",
+    return _rows(
+        g, "tenant_id",
         F.coalesce(F.col("fam_code"), F.lit(LB.DEFAULT_FAMILY_CODE)).alias("CodeFamille"),
         F.coalesce(F.col("fam_name"), F.lit(LB.DEFAULT_FAMILY_NAME)).alias("LibelleFamille"),
-        _dec("amount", 28, 6).alias("CA_Famille"),
+        Dec("amount", 28, 6, "CA_Famille"),
         F.col("amount").alias("_o1"), F.col("fam_code").alias("_o2"))
 
 
@@ -286,22 +333,26 @@ def impayees(base: Base, n: int = 50) -> DataFrame:
     inv = base.docs([LB.SALES_INVOICE])
     pay = base.payer_totals().withColumnRenamed("CT_NumPayeur", "DO_Tiers")
     x = inv.join(pay, ["tenant_id", "DO_Tiers"], "left")
-    billed = (x.amount * F.greatest(F.coalesce(x.n_payments, F.lit(0)), F.lit(1))).cast("decimal(38,6)")
-    paid = F.coalesce(x.paid * x.n_lines, F.lit(0)).cast("decimal(38,6)")
-    x = x.select("tenant_id", "DO_Piece", "DO_Date", "DO_Tiers", billed.alias("billed"), paid.alias("paid"))
-    x = x.withColumn("balance", _dec(F.col("billed") - F.col("paid"), 18, 2)).where(F.col("balance") > 0)
-    t = top_n(x, [F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").asc_nulls_first()], n)
+    times = F.greatest(F.coalesce(x.n_payments, F.lit(0)), F.lit(1))
+    billed, paid = _product(x.amount, times, 6), _product(x.paid, x.n_lines, 6)
+    x = x.select("tenant_id", "DO_Piece", "DO_Date", "DO_Tiers", billed.alias("billed"), F.coalesce(paid, F.lit(0)).alias("paid"),
+                 ((x.amount.isNotNull() & billed.isNull()) | (x.paid.isNotNull() & paid.isNull())).alias("lost"))
+    owed = Dec(F.try_subtract("billed", "paid"), 18, 2, "balance")
+    x = x.withColumns({"balance": owed.value(), "lost": F.col("lost") | (F.col("billed").isNotNull() & owed.value().isNull())})
+    # A row whose amounts don't fit comes first, so that it is in the cut and its tenant's report fails.
+    x = x.where((F.col("balance") > 0) | F.col("lost"))
+    t = top_n(x, [F.col("lost").desc(), F.col("DO_Date").desc_nulls_last(), F.col("DO_Piece").asc_nulls_first()], n)
     t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient", n)
-    return t.select(
-        "tenant_id",
+    return _rows(
+        t, "tenant_id",
         F.col("DO_Piece").alias("NumFacture"),
         dmy(F.col("DO_Date")).alias("DateFacture"),
         F.col("DO_Tiers").alias("CodeClient"),
         "NomClient",
-        _dec("billed", 18, 2).alias("MontantFacture"),
-        _dec("paid", 24, 2).alias("MontantRegle"),
+        Dec("billed", 18, 2, "MontantFacture"),
+        Dec("paid", 24, 2, "MontantRegle"),
         F.col("balance").alias("Solde"),
-        RANK)
+        RANK, lost=F.col("lost"))
 
 
 # -- R15 ---------------------------------------------------------------------
@@ -320,21 +371,24 @@ def solde_client(base: Base) -> DataFrame:
     pay = base.payer_totals().withColumnRenamed("CT_NumPayeur", "CT_Num")
     p = base.table("F_COMPTET").select("tenant_id", "CT_Num", "CT_Intitule")
     x = p.join(inv, ["tenant_id", "CT_Num"], "left").join(pay, ["tenant_id", "CT_Num"], "left")
-    billed = x.billed * F.greatest(F.coalesce(x.n_payments, F.lit(0)), F.lit(1))
-    paid = x.paid * F.greatest(F.coalesce(x.n_rows, F.lit(0)), F.lit(1))
-    g = (x.select("tenant_id", "CT_Num", "CT_Intitule", billed.cast("decimal(38,6)").alias("b"),
-                  paid.cast("decimal(38,2)").alias("q"))
+    billed = _product(x.billed, F.greatest(F.coalesce(x.n_payments, F.lit(0)), F.lit(1)), 6)
+    paid = _product(x.paid, F.greatest(F.coalesce(x.n_rows, F.lit(0)), F.lit(1)), 2)
+    g = (x.select("tenant_id", "CT_Num", "CT_Intitule", billed.alias("b"), paid.alias("q"),
+                  ((x.billed.isNotNull() & billed.isNull()) | (x.paid.isNotNull() & paid.isNull())).alias("lost"))
          .groupBy("tenant_id", "CT_Num", "CT_Intitule")
-         .agg(F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.coalesce(F.sum("q"), F.lit(0)).alias("q")))
-    g = g.withColumn("balance", _dec(F.col("b") - F.col("q"), 29, 6)).where(F.col("balance") != 0)
-    return g.select(
-        "tenant_id",
+         .agg(F.coalesce(F.try_sum("b"), F.lit(0)).alias("b"), F.coalesce(F.try_sum("q"), F.lit(0)).alias("q"),
+              F.bool_or("lost").alias("lost")))
+    owed = Dec(F.try_subtract("b", "q"), 29, 6, "balance")
+    g = g.withColumns({"balance": owed.value(), "lost": F.col("lost") | owed.value().isNull()})
+    g = g.where((F.col("balance") != 0) | F.col("lost"))
+    return _rows(
+        g, "tenant_id",
         F.col("CT_Num").alias("CodeClient"),
         F.col("CT_Intitule").alias("Nom"),
-        _dec("b", 28, 6).alias("TotalFacture"),
-        _dec("q", 24, 2).alias("TotalRegle"),
+        Dec("b", 28, 6, "TotalFacture"),
+        Dec("q", 24, 2, "TotalRegle"),
         F.col("balance").alias("Solde"),
-        F.col("balance").alias("_o1"), F.col("CT_Num").alias("_o2"))
+        F.col("balance").alias("_o1"), F.col("CT_Num").alias("_o2"), lost=F.col("lost"))
 
 
 # -- registry -------------------------------------------------------------------
@@ -374,15 +428,20 @@ assert list(REPORTS) == LB.MODULE_KEYS
 
 
 def helper_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c == RANK or c.startswith("_o")]
+    return [c for c in df.columns if c in (RANK, OVERFLOW) or c.startswith("_o")]
 
 
 def report(key: str, base: Base) -> DataFrame:
-    """Report ``key`` for all tenants: ``tenant_id`` plus the report's columns."""
+    """Report ``key`` for all tenants: ``tenant_id`` plus the report's columns. An amount that does not fit is an error."""
     df = REPORTS[key].build(base)
-    return df.drop(*helper_columns(df))
+    return strict(df).drop(*helper_columns(df))
 
 
 def ordered_report(key: str, base: Base) -> DataFrame:
-    """Report ``key`` with its order columns, for the snapshot form."""
+    """Report ``key`` with its order columns, for the snapshot form. An amount that does not fit is an error."""
+    return strict(REPORTS[key].build(base))
+
+
+def flagged_report(key: str, base: Base) -> DataFrame:
+    """As :func:`ordered_report`, with the rows whose amounts do not fit, marked in :data:`OVERFLOW`."""
     return REPORTS[key].build(base)

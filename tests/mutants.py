@@ -23,8 +23,8 @@ MUTANTS = {
     "payments_preaggregated_r14": ("impayees", *_GROUPED_PAYMENTS),
     "payments_preaggregated_r15": ("solde_client", *_GROUPED_PAYMENTS),
     "on_to_where": ("solde_client", "FROM party\n  LEFT JOIN invoice_rows", "FROM party\n  JOIN invoice_rows"),
-    "null_cost_skipped": ("marge_brute", "CAST(SUM(coalesce(AR_PrixAch, 0)) AS DOUBLE) / COUNT(*)",
-                          "CAST(SUM(AR_PrixAch) AS DOUBLE) / COUNT(AR_PrixAch)"),
+    "null_cost_skipped": ("marge_brute", "SUM(coalesce(AR_PrixAch, 0)) AS cost_sum, COUNT(*) AS line_n",
+                          "SUM(AR_PrixAch) AS cost_sum, COUNT(AR_PrixAch) AS line_n"),
     "item_code_grouping": ("ca_famille", "GROUP BY tenant_id, known_code, FA_Intitule",
                            "GROUP BY tenant_id, AR_Ref, known_code, FA_Intitule"),
     "having_removed": ("solde_client", "WHERE billed - paid <> 0", ""),
