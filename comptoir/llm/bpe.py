@@ -45,7 +45,7 @@ from comptoir.llm.common import extended, small_batches
 SLICE = 1 << 18  # characters of a text that are cut into pieces at a time
 SHORT = 48  # bytes of a piece whose output is remembered
 LOOK_AHEAD = 256  # bytes read before tokens are emitted
-MOST_PIECES = 400_000  # in each of two generations
+MOST_PIECES = 200_000  # in each of two generations
 MOST_TRANSITIONS = 400_000
 
 
