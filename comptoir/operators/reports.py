@@ -178,16 +178,8 @@ def top_articles(base: Base, n: int = 20) -> DataFrame:
 
 # -- R06 ---------------------------------------------------------------------
 def top_clients(base: Base, n: int = 20) -> DataFrame:
-    """Customers with the highest sales amount and their number of distinct document numbers.
-
-    Two explicit aggregation levels (per piece, then per customer) keep the
-    distinct count skew-safe: the second level combines map-side.
-    """
-    per_piece = (base.docs(SALES_TYPES).groupBy("tenant_id", "DO_Tiers", "DO_Piece")
-                 .agg(F.sum("amount").alias("amount")))
-    per_party = (per_piece.groupBy("tenant_id", "DO_Tiers")
-                 .agg(F.sum("amount").alias("amount"), F.count("DO_Piece").alias("n_pieces")))
-    t = top_n(per_party, [F.col("amount").desc_nulls_last(), F.col("DO_Tiers").asc_nulls_first()], n)
+    """Customers with the highest sales amount and their number of distinct document numbers."""
+    t = top_n(base.party_sales(), [F.col("amount").desc_nulls_last(), F.col("DO_Tiers").asc_nulls_first()], n)
     t = _with_name(t, base, "DO_Tiers", LB.DEFAULT_CUSTOMER, "NomClient", n)
     return _rows(
         t, "tenant_id",
@@ -244,19 +236,23 @@ def mode_reglement(base: Base) -> DataFrame:
 
 
 # -- R10 ---------------------------------------------------------------------
+def margins(item_sales: DataFrame, items: DataFrame) -> DataFrame:
+    """Items with a price: mean sale price ``p``, cost ``c`` and their difference ``m``."""
+    s = item_sales.where(F.col("AR_Ref").isNotNull())
+    s = s.join(items.select("tenant_id", "AR_Ref", "AR_Design", "AR_PrixAch"), ["tenant_id", "AR_Ref"], "left")
+    s = s.where(F.col("price_sum") > 0)
+    # The mean of one cost over all lines of its item is that cost.
+    cost = F.coalesce(F.col("AR_PrixAch"), F.lit(0)).cast("decimal(38,6)")
+    s = s.withColumns({"p": quotient6(F.col("price_sum"), F.col("price_n").cast("decimal(20,0)")), "c": cost})
+    return s.withColumn("m", (F.col("p") - F.col("c")).cast("decimal(38,6)"))
+
+
 def marge_brute(base: Base, n: int = 20) -> DataFrame:
     """Items with the highest unit margin: mean sale price minus mean purchase cost.
 
     A missing cost or item counts as cost 0; both means are weighted by line.
     """
-    s = base.item_sales().where(F.col("AR_Ref").isNotNull())
-    s = s.join(base.items().select("tenant_id", "AR_Ref", "AR_Design", "AR_PrixAch"), ["tenant_id", "AR_Ref"], "left")
-    s = s.where(F.col("price_sum") > 0)
-    # The mean of one cost over all lines of its item is that cost.
-    cost = F.coalesce(F.col("AR_PrixAch"), F.lit(0)).cast("decimal(38,6)")
-    s = s.withColumns({"p": quotient6(F.col("price_sum"), F.col("price_n").cast("decimal(20,0)")), "c": cost})
-    s = s.withColumn("m", (F.col("p") - F.col("c")).cast("decimal(38,6)"))
-    t = top_n(s, [F.col("m").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
+    t = top_n(margins(base.item_sales(), base.items()), [F.col("m").desc_nulls_last(), F.col("AR_Ref").asc_nulls_first()], n)
     return _rows(
         t, "tenant_id",
         F.col("AR_Ref").alias("CodeArticle"),

@@ -112,6 +112,16 @@ class Base:
             F.sum("price_n").alias("price_n"),
             F.sum("n_lines").alias("n_lines"))
 
+    def party_sales(self) -> DataFrame:
+        """Per (tenant, customer): sales amount and number of distinct document numbers.
+
+        Two explicit levels (per number, then per customer) keep the distinct count skew-safe: the second one combines map-side.
+        """
+        if "party_sales" in self.materialized:
+            return self.materialized["party_sales"]
+        per_piece = self.docs(SALES_TYPES).groupBy("tenant_id", "DO_Tiers", "DO_Piece").agg(F.sum("amount").alias("amount"))
+        return per_piece.groupBy("tenant_id", "DO_Tiers").agg(F.sum("amount").alias("amount"), F.count("DO_Piece").alias("n_pieces"))
+
     # -- payments -------------------------------------------------------------
     def payments(self) -> DataFrame:
         return self.replica["F_CREGLEMENT"]
