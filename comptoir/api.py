@@ -104,11 +104,19 @@ def _latest_query(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(strict(df).drop(*helper_columns(df)))
 
 
+_MAINTAINED: dict[tuple[str, str], str] = {}
+
+
 def _maintained(spark: SparkSession, sf_dir: str) -> tuple[MaintainedSums, dict[str, DataFrame]]:
-    sums = MaintainedSums(spark, scratch_path(spark, "queries", "maintained"), slots=8)
-    for wave, (replica, changed) in enumerate(fx.waves(fx.replica_from_testdata(spark, sf_dir))):
-        sums.apply(replica, changed, wave)
-    return sums, replica
+    """The state after three waves, built once an application and folder, and the replica as the last wave left it."""
+    deliveries = fx.waves(fx.replica_from_testdata(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MAINTAINED:
+        path = scratch_path(spark, "queries", "maintained")
+        for wave, (replica, changed) in enumerate(deliveries):
+            MaintainedSums(spark, path, slots=8).apply(replica, changed, wave)
+        _MAINTAINED[key] = path
+    return MaintainedSums(spark, _MAINTAINED[key], slots=8), deliveries[-1][0]
 
 
 def q_maintained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +132,12 @@ def q_maintained_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(report("top_clients", sums.base(replica)))
 
 
+def q_maintained_top_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5: the same report from the ranking kept through the waves: only the best customers' sums are read."""
+    sums, replica = _maintained(spark, sf_dir)
+    return published(report("top_clients", sums.top_base(replica, "top_clients")))
+
+
 def q_refresh_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O5: two cycles over the ledger, the first without tenant T2; rows of every snapshot by tenant and report, and how many cycles the log has."""
     out, settings = scratch_path(spark, "queries", "cycle"), fx.settings_fixture(spark)
@@ -175,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"latest_{key}": partial(_latest_query, key) for key in ("sales", "mouvements", "impayees")},
     "maintained_items": q_maintained_items,
     "maintained_clients": q_maintained_clients,
+    "maintained_top_clients": q_maintained_top_clients,
     "refresh_cycle": q_refresh_cycle,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,

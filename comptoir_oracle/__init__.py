@@ -15,7 +15,8 @@ HERE = Path(__file__).parent
 
 
 # Queries that give a report's rows in another way.
-SAME_ROWS = {"latest_sales": "sales", "latest_mouvements": "mouvements", "latest_impayees": "impayees"}
+SAME_ROWS = {"latest_sales": "sales", "latest_mouvements": "mouvements", "latest_impayees": "impayees",
+             "maintained_top_clients": "maintained_clients"}
 REPORT_KEYS = ["sales", "achats", "caisse", "stock", "top_articles", "top_clients", "evolution_ca", "rotation", "mode_reglement",
                "marge_brute", "mouvements", "dernieres_transac", "ca_famille", "impayees", "solde_client"]
 
