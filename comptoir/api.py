@@ -26,6 +26,7 @@ from comptoir.plans.latest import latest_report
 from comptoir.session import scratch_path
 from comptoir.sinks.snapshot import replace_snapshot, snapshot_payload
 from comptoir.sources import fixtures as fx
+from comptoir.sources.keyed import KeyedTable
 from comptoir.sources.ledger import open_ledger, write_ledger
 from comptoir.sources.replica import check_keys, conform
 
@@ -77,6 +78,14 @@ def q_check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_keys(fx.landed_twice(fx.replica_from_testdata(spark, sf_dir)))
 
 
+def q_row_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, O4: payments kept from three waves of change rows: new, altered, deleted, repeated and late ones."""
+    table = KeyedTable.of_replica(spark, scratch_path(spark, "queries", "keyed"), "F_CREGLEMENT", slot_rows=20_000)
+    for wave in fx.payment_waves(fx.replica_from_testdata(spark, sf_dir)):
+        table.apply(wave)
+    return published(table.rows())
+
+
 _LEDGERS: dict[tuple[str, str], str] = {}
 
 
@@ -185,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_replace": q_snapshot_replace,
     "conform": q_conform,
     "check_keys": q_check_keys,
+    "row_changes": q_row_changes,
     "ledger_sums": q_ledger_sums,
     **{f"latest_{key}": partial(_latest_query, key) for key in ("sales", "mouvements", "impayees")},
     "maintained_items": q_maintained_items,

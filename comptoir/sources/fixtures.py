@@ -11,6 +11,8 @@ The same definitions, written in SQL, prefix every oracle query (``comptoir_orac
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -218,3 +220,25 @@ def waves(replica: dict[str, DataFrame]) -> list[tuple[dict[str, DataFrame], Dat
         (replica | {"F_DOCENTETE": heads.where(f"{d} <> 3"), "F_DOCLIGNE": lines.where(f"{d} <> 3")}, None),
         (replica | {"F_DOCENTETE": altered.where(f"{d} <> 4"), "F_DOCLIGNE": second}, heads.where(f"{d} IN (3, 4, 5)").select(*key)),
         (replica | {"F_DOCENTETE": altered, "F_DOCLIGNE": third}, heads.where(f"{d} IN (4, 5, 6)").select(*key))]
+
+
+def payment_waves(replica: dict[str, DataFrame]) -> list[DataFrame]:
+    """Payments as three waves of change rows, by the last digit d of their number.
+
+    First: all but d = 3. Second: 3 is new, 4 deleted, 5 raised by 1, delivered twice and after an older row of the same wave. Third: a
+    late row of 4 (older than its deletion), of 5 (older than the raise) and a late deletion of 8, all without effect; 6 deleted
+    and back as 'back', 7 deleted.
+    """
+    paid = replica["F_CREGLEMENT"]
+
+    def rows(digits: str, seq: int, deleted: bool = False, **values: str) -> DataFrame:
+        out = paid.where(f"RG_No % 10 IN ({digits})").withColumns({c: F.expr(e) for c, e in values.items()})
+        return out.withColumns({"change_seq": F.lit(seq).cast("long"), "deleted": F.lit(deleted)})
+
+    raised = {"RG_Montant": "CAST(RG_Montant + 1 AS DECIMAL(14,2))"}
+    late = {"RG_Libelle": "'late'"}
+    every = [[rows("0, 1, 2, 4, 5, 6, 7, 8, 9", 100)],
+             [rows("3", 200), rows("4", 200, True), rows("5", 210, **raised), rows("5", 210, **raised), rows("5", 205, **late)],
+             [rows("4", 150, **late), rows("5", 207, **late), rows("8", 90, True), rows("6", 300, True),
+              rows("6", 310, RG_Libelle="'back'"), rows("7", 300, True)]]
+    return [reduce(DataFrame.unionByName, wave) for wave in every]

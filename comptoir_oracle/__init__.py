@@ -43,6 +43,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     "impayees": ["MontantFacture", "MontantRegle", "Solde"],
     "solde_client": ["TotalFacture", "TotalRegle", "Solde"],
     "ledger_sums": ["amount"],
+    "row_changes": ["RG_Montant"],
     "maintained_items": ["qty", "amount", "price_sum"],
     "maintained_clients": ["CA_Total"],
 }
