@@ -6,11 +6,13 @@
                             [--available-now] [--registry PATH] [--checkpoint PATH]
   python -m comptoir ledger --replica PATH --out PATH [--buckets N] [--period yyyy-MM]
   python -m comptoir report NAME --replica PATH [--rows N]
+  python -m comptoir land   --table NAME --delivery PATH --replica PATH --landing N [--complete]
   python -m comptoir health --out PATH [--rows N]
 
 Paths may be any Hadoop file system URI. The settings table (tenant_id, module_key, is_enabled) is
 parquet; without it every report is on for every tenant. ``ledger`` stores a replica so that lines meet their headers without a
-shuffle; ``cycle``, ``stream`` and ``report`` read it with ``--ledger``.
+shuffle; ``cycle``, ``stream`` and ``report`` read it with ``--ledger``. ``land`` merges a delivery (parquet) of one table into a
+replica that is kept by key; ``cycle``, ``stream``, ``report`` and ``ledger`` read that with ``--landed``.
 """
 
 from __future__ import annotations
@@ -30,11 +32,12 @@ def _settings(spark, path):
 
 
 def _load(a):
-    """What reads ``--replica``: a ledger's tables or a plain replica's."""
+    """What reads ``--replica``: a ledger's tables, landed ones or a plain replica's."""
+    from comptoir.sources.landing import open_landed
     from comptoir.sources.ledger import open_ledger
     from comptoir.sources.replica import load_replica
 
-    return open_ledger if a.ledger else load_replica
+    return open_landed if a.landed else open_ledger if getattr(a, "ledger", False) else load_replica
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -71,6 +74,14 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--out", required=True)
     w.add_argument("--buckets", type=int)
     w.add_argument("--period", default="yyyy-MM")
+    for x in (c, s, r, w):
+        x.add_argument("--landed", action="store_true", help="the replica is kept by landings (python -m comptoir land)")
+    d = sub.add_parser("land")
+    d.add_argument("--table", required=True)
+    d.add_argument("--delivery", required=True)
+    d.add_argument("--replica", required=True)
+    d.add_argument("--landing", type=int, required=True, help="its number: higher than those before, the same when repeated")
+    d.add_argument("--complete", action="store_true", help="the delivery is the whole table of its tenants, not change rows")
     a = p.parse_args(argv)
 
     from comptoir.session import build_session
@@ -109,9 +120,13 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "ledger":
         from comptoir.sources.ledger import write_ledger
-        from comptoir.sources.replica import load_replica
 
-        write_ledger(load_replica(spark, a.replica), a.out, a.buckets, a.period)
+        write_ledger(_load(a)(spark, a.replica), a.out, a.buckets, a.period)
+        return 0
+    if a.cmd == "land":
+        from comptoir.sources.landing import land
+
+        land(spark, spark.read.parquet(a.delivery), a.table, a.replica, a.landing, a.complete)
         return 0
     if a.cmd == "health":
         from comptoir.operators.health import retry_schedule, sync_health

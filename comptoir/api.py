@@ -27,6 +27,7 @@ from comptoir.session import scratch_path
 from comptoir.sinks.snapshot import replace_snapshot, snapshot_payload
 from comptoir.sources import fixtures as fx
 from comptoir.sources.keyed import KeyedTable
+from comptoir.sources.landing import land, rejected
 from comptoir.sources.ledger import open_ledger, write_ledger
 from comptoir.sources.replica import check_keys, conform
 
@@ -86,6 +87,18 @@ def q_row_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(table.rows())
 
 
+def q_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: two complete deliveries of payments landed: the rows stored after them, and the rows that each rejected."""
+    root = scratch_path(spark, "queries", "landed")
+    for i, delivered in enumerate(fx.payment_deliveries(fx.replica_from_testdata(spark, sf_dir)), start=1):
+        land(spark, delivered, "F_CREGLEMENT", root, i, complete=True, slot_rows=20_000)
+    stored = published(KeyedTable.of_replica(spark, root, "F_CREGLEMENT").rows())
+    bad = rejected(spark, root, "F_CREGLEMENT")
+    columns = ["tenant_id", "RG_No", "RG_Libelle", "RG_Montant", "rejected_columns", "landing"]
+    return stored.withColumns({"rejected_columns": F.lit(None).cast("string"), "landing": F.lit(None).cast("int")}).select(*columns).unionByName(
+        bad.select(*(F.col(c).cast("bigint").alias(c) if c == "RG_No" else F.col(c) for c in columns)))
+
+
 _LEDGERS: dict[tuple[str, str], str] = {}
 
 
@@ -195,6 +208,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform": q_conform,
     "check_keys": q_check_keys,
     "row_changes": q_row_changes,
+    "land": q_land,
     "ledger_sums": q_ledger_sums,
     **{f"latest_{key}": partial(_latest_query, key) for key in ("sales", "mouvements", "impayees")},
     "maintained_items": q_maintained_items,

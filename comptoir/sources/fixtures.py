@@ -242,3 +242,12 @@ def payment_waves(replica: dict[str, DataFrame]) -> list[DataFrame]:
              [rows("4", 150, **late), rows("5", 207, **late), rows("8", 90, True), rows("6", 300, True),
               rows("6", 310, RG_Libelle="'back'"), rows("7", 300, True)]]
     return [reduce(DataFrame.unionByName, wave) for wave in every]
+
+
+def payment_deliveries(replica: dict[str, DataFrame]) -> list[DataFrame]:
+    """Two complete deliveries of payments as text: :func:`landed_payments`, then the same with the label 'again', without the
+    numbers that end in 3 and with a broken date where 13 divides the number."""
+    first = landed_payments(replica)
+    return [first, first.where("CAST(RG_No AS BIGINT) % 10 <> 3").withColumns({
+        "RG_Libelle": F.lit("again"),
+        "RG_Date": F.expr("CASE WHEN CAST(RG_No AS BIGINT) % 13 = 0 THEN 'unknown' ELSE RG_Date END")})]

@@ -29,12 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comptoir.schemas import REPLICA_SCHEMAS
+from comptoir.schemas import REPLICA_KEYS, REPLICA_SCHEMAS
 from comptoir.session import scratch_path
-from comptoir.sources.replica import SPREAD
 
-#: The key of each table: of its data contract, or of the rows that belong together where that names none.
-KEYS = {name: key for name, key in SPREAD.items() if name != "F_DOCLIGNE"}
+#: Only tables with a key in the data contract can be kept by it.
+KEYS = REPLICA_KEYS
 SLOT_ROWS = 1_000_000
 #: Slots that are named to the scan one by one (a filter on folders); more of them are found by a join.
 PRUNED_SLOTS = 100_000
