@@ -6,8 +6,10 @@ the whole item if it has fewer. Every document word inside an occurrence of a
 phrase is hit.
 
 1. The distinct phrases are found by Spark and sent to the tasks in blocks of
-   at most ``block_phrases``; that bounds the broadcast. More blocks mean more
-   passes, staged one after another.
+   at most ``block_phrases``, each with one number: that of the set of items it is
+   in. That bounds the broadcast, however many items share a phrase. More blocks
+   mean more passes, staged one after another. Sets are told apart by their size and 128
+   bits of hashes that combine before the shuffle; (set, item) stays a table of Spark's.
 2. Each task cuts its documents into training shards of at most ``shard_words``
    indexed words and builds an FM-index of each: suffix array by prefix
    doubling, Burrows-Wheeler transform, wavelet matrix with ranks, every
@@ -18,13 +20,16 @@ phrase is hit.
 3. All phrases of one length are searched backward together; occurrences are
    located by walking to the next sampled suffix, and their spans are merged.
 
-The search needs no shuffle and no row leaves its task, so hot sources or
+4. Documents carry the numbers of the sets they hit. Only documents with hits are joined with
+   (set, item), to list their items; an inner join on the set, which Spark can split where a set is hot.
+
+The search needs no shuffle, and a document without a hit never leaves its task, so hot sources or
 copies don't matter.
 
 Defined results: a null text has no words. Items without words have no phrase;
 items that repeat an ``item_id`` count as one; an item whose id is null hits but is not
-listed. Without items nothing is hit. Columns beside ``text`` are kept, but for those
-named as an output.
+listed. Without items nothing is hit; without documents the result is empty. Documents that repeat an id or
+a text are rows of their own. Columns beside ``text`` are kept, but for those named as an output.
 """
 
 from __future__ import annotations
@@ -52,10 +57,15 @@ class FMIndex:
     def __init__(self, text: np.ndarray):
         text = np.r_[text, 0].astype(np.int64) if not text.size or text[-1] else text.astype(np.int64)
         n, ends = text.size, np.flatnonzero(text == 0)
-        self.suffixes = sa = self._suffix_array(text, ends)
+        sa = self._suffix_array(text, ends)
         before = text[sa - 1]  # the symbol before each suffix; for the first one the last 0
-        self.n_symbols = int(text.max()) + 1
+        self.size, self.n_symbols = n, int(text.max()) + 1
         self.starts = np.r_[0, np.cumsum(np.bincount(text, minlength=self.n_symbols))]
+        # Sampled: every SAMPLE-th position, and suffixes that begin a stretch (there is no step back from them). Only
+        # these positions stay; a row's place among them is a count of the sampled rows before it.
+        self.sampled = (sa % SAMPLE == 0) | (before == 0)
+        self.sampled_before = np.r_[0, np.cumsum(self.sampled)[:-1]].astype(np.int32)
+        self.positions = sa[self.sampled]
         # A wavelet matrix: a bit of every symbol a level, each level sorted by the bit of the one above.
         self.levels, self.origin = [], np.zeros(self.n_symbols, np.int64)
         seq, symbols = before, np.arange(self.n_symbols)
@@ -67,9 +77,6 @@ class FMIndex:
             self.origin = np.where((symbols >> shift) & 1, zeros + ones[self.origin],
                                    self.origin - ones[self.origin])
             seq = np.r_[seq[bit == 0], seq[bit == 1]]
-        self.before = before
-        # Sampled: every SAMPLE-th position, and suffixes that begin a stretch (there is no step back from them).
-        self.sampled = (sa % SAMPLE == 0) | (before == 0)
 
     @staticmethod
     def _suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -101,7 +108,7 @@ class FMIndex:
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First row and row after the last, for each row of ``phrases`` (all of one length)."""
         first = np.zeros(len(phrases), np.int64)
-        last = np.full(len(phrases), self.suffixes.size, np.int64)
+        last = np.full(len(phrases), self.size, np.int64)
         known = phrases.max(axis=1, initial=0) < self.n_symbols
         last[~known] = 0
         live = np.flatnonzero(known)
@@ -112,16 +119,25 @@ class FMIndex:
             live = live[first[live] < last[live]]
         return first, np.maximum(last, first)
 
+    def step_back(self, rows: np.ndarray) -> np.ndarray:
+        """The row of the suffix one symbol longer, the symbol read from the wavelet matrix on the way down."""
+        i, symbol = rows, np.zeros(rows.size, np.int64)
+        for shift, ones, zeros in self.levels:
+            below = ones[i]
+            bit = ones[i + 1] - below
+            symbol |= bit.astype(np.int64) << shift
+            i = np.where(bit, zeros + below, i - below)
+        return self.starts[symbol] + i - self.origin[symbol]
+
     def locate(self, rows: np.ndarray) -> np.ndarray:
         """Text positions of the suffixes in these rows."""
         rows, back = rows.copy(), np.zeros(rows.size, np.int64)
         walk = np.flatnonzero(~self.sampled[rows])
         while walk.size:
-            s = self.before[rows[walk]]
-            rows[walk] = self.starts[s] + self.rank(s, rows[walk])
+            rows[walk] = self.step_back(rows[walk])
             back[walk] += 1
             walk = walk[~self.sampled[rows[walk]]]
-        return self.suffixes[rows] + back
+        return self.positions[self.sampled_before[rows]] + back
 
 
 def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]:
@@ -135,21 +151,21 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[i
 
 
 class Phrases:
-    """A block of phrases: ids by word, and by length a matrix of word ids with the items of each row."""
+    """A block of phrases: ids by word, and by length a matrix of word ids with the item set of each row."""
 
-    def __init__(self, rows: list[tuple[list[bytes], list[str]]]):
+    def __init__(self, rows: list[tuple[list[bytes], int]]):
         self.word_id: dict[bytes, int] = {}
         by_length = defaultdict(list)
         for words, items in rows:
             by_length[len(words)].append(([self.word_id.setdefault(w, len(self.word_id) + 1) for w in words], items))
-        self.by_length = [(n, np.array([p for p, _ in found], np.int64), [i for _, i in found])
+        self.by_length = [(n, np.array([p for p, _ in found], np.int64), np.array([i for _, i in found], np.int64))
                           for n, found in sorted(by_length.items())]
         self.shortest = min(by_length, default=0)
         self.longest = max(by_length, default=0)
 
 
-def search_shard(symbols: list[np.ndarray], doc: list[int], start: list[int], phrases, hits: dict, items: dict) -> None:
-    """Index the stretches as one shard, and note spans and items by document."""
+def search_shard(symbols: list[np.ndarray], doc: list[int], start: list[int], phrases, hits: dict, sets: dict) -> None:
+    """Index the stretches as one shard, and note spans and item sets by document."""
     sizes = np.array([s.size + 1 for s in symbols])
     offset = np.r_[0, np.cumsum(sizes)[:-1]]
     index = FMIndex(np.concatenate([x for s in symbols for x in (s, np.zeros(1, np.int64))]))
@@ -165,10 +181,10 @@ def search_shard(symbols: list[np.ndarray], doc: list[int], start: list[int], ph
         at = index.locate(rows)
         stretch = np.searchsorted(offset, at, side="right") - 1
         place = at - offset[stretch]
-        for s, p, w in zip(stretch.tolist(), place.tolist(), which.tolist()):
+        for s, p, w in zip(stretch.tolist(), place.tolist(), of[which].tolist()):
             d = doc[s]
             hits[d].append((start[s] + p, start[s] + p + n))
-            items[d].update(of[w])
+            sets[d].add(w)
 
 
 def cut_spans(text: str, starts: list[int], ends: list[int]) -> str:
@@ -183,19 +199,19 @@ def cut_spans(text: str, starts: list[int], ends: list[int]) -> str:
 
 
 def _searcher(block, shard_words: int):
-    """A function over batches that adds the block's hits to the columns __starts, __ends, __items."""
+    """A function over batches that adds the block's hits to the columns __starts, __ends, __sets."""
     def run(batches):
         word_id, by_length, shortest, longest = block.value
         phrases = (word_id, by_length)
         get = word_id.get
         for b in batches:
-            hits, items = defaultdict(list), defaultdict(set)
+            hits, sets = defaultdict(list), defaultdict(set)
             n_words, stretches, doc, start, held = [], [], [], [], 0
 
             def flush():
                 nonlocal held
                 if stretches:
-                    search_shard(stretches, doc, start, phrases, hits, items)
+                    search_shard(stretches, doc, start, phrases, hits, sets)
                 stretches.clear(), doc.clear(), start.clear()
                 held = 0
 
@@ -222,23 +238,23 @@ def _searcher(block, shard_words: int):
                         a += max(1, part.size - longest + 1)
             flush()
             starts, ends, names = [], [], []
-            for d, (s, e, i) in enumerate(zip(*(b.column(c).to_pylist() for c in ("__starts", "__ends", "__items")))):
+            for d, (s, e, i) in enumerate(zip(*(b.column(c).to_pylist() for c in ("__starts", "__ends", "__sets")))):
                 if d in hits:
                     pairs = np.array(sorted({*hits[d], *zip(s, e)}), np.int64)
                     s, e = merge_spans(pairs[:, 0], pairs[:, 1])
-                    i = sorted({*i, *items[d]})
+                    i = sorted({*i, *sets[d]})
                 starts.append(s)
                 ends.append(e)
                 names.append(i)
             ints = pa.list_(pa.int32())
             new = {"n_words": (n_words, pa.int64()), "__starts": (starts, ints), "__ends": (ends, ints),
-                   "__items": (names, pa.list_(pa.string()))}
+                   "__sets": (names, pa.list_(pa.int64()))}
             yield batch_of({c: new.get(c, (b.column(c), None)) for c in b.schema.names})
     return run
 
 
 def phrases_of(items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """(phrase, items): the distinct phrases, words joined by a blank, with the ids of their items."""
+    """(item, phrase): the phrases, words joined by a blank, of each item."""
     def run(batches):
         for b in batches:
             ids, found = [], []
@@ -251,8 +267,19 @@ def phrases_of(items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
             yield batch_of({"item": (ids, pa.string()), "phrase": (found, pa.binary())})
 
     return (items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-            .mapInArrow(run, "item string, phrase binary")
-            .groupBy("phrase").agg(F.collect_set("item").alias("items")))
+            .mapInArrow(run, "item string, phrase binary").distinct())
+
+
+def item_sets(phrases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (item, phrase): (phrase, set) with the number of each phrase's set of items, and (set, item). No set is ever one row."""
+    sign = ["s1", "s2", "n"]
+    by = phrases.groupBy("phrase").agg(
+        *(F.bit_xor(F.when(F.col("item").isNotNull(), F.xxhash64("item", F.lit(seed)))).alias(c) for seed, c in ((1, "s1"), (2, "s2"))),
+        F.count("item").alias("n")).fillna(0, ["s1", "s2"])
+    by = stage(by, "phrase-sets")
+    sets = stage(by.groupBy(*sign).agg(F.min("phrase").alias("phrase")).withColumn("set", F.monotonically_increasing_id()), "item-sets")
+    numbered = by.join(sets.select(*sign, "set"), sign).select("phrase", "set")
+    return numbered, phrases.where("item is not null").join(sets.select("phrase", "set"), "phrase").select("set", "item")
 
 
 def find_hits(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS,
@@ -260,27 +287,44 @@ def find_hits(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORD
     """``docs`` with ``n_words``, ``hit_starts``, ``hit_ends`` (word spans, merged, in order) and ``hit_items``."""
     spark = docs.sparkSession
     small_batches(spark)
-    phrases = stage(phrases_of(items, window_words), "phrases")
+    found = stage(phrases_of(items, window_words), "item-phrases")
+    phrases, members = (stage(df, name) for df, name in zip(item_sets(found), ("phrases", "set-items")))
     blocks = max(1, -(-phrases.count() // block_phrases))
     none = F.array().cast("array<int>")
-    rows = docs.select(*carried(docs, ["n_words", "hit_starts", "hit_ends", "hit_items"]),
-                       F.lit(0).cast("long").alias("n_words"), none.alias("__starts"), none.alias("__ends"),
-                       F.array().cast("array<string>").alias("__items"))
+    outputs = ["n_words", "hit_starts", "hit_ends", "hit_items"]
+    names = docs.select(*carried(docs, outputs)).columns
+    # Columns beside the text travel under numbers, so their names clash with nothing.
+    rows = docs.select(*(docs[f"`{c}`"].alias(c if c == "text" else f"k{i}") for i, c in enumerate(names)), F.lit(0).cast("long").alias("n_words"), none.alias("__starts"),
+                       none.alias("__ends"), F.array().cast("array<bigint>").alias("__sets"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
     for k in range(blocks):
         part = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k).collect() if blocks > 1 \
             else phrases.collect()
-        p = Phrases(sorted((bytes(r["phrase"]).split(), sorted(r["items"])) for r in part))
+        p = Phrases(sorted((bytes(r["phrase"]).split(), r["set"]) for r in part))
         block = spark.sparkContext.broadcast((p.word_id, p.by_length, p.shortest, p.longest))
         rows = rows.mapInArrow(_searcher(block, shard_words), schema)
         if k < blocks - 1:
             rows = stage(rows, "hits")
-    return rows.withColumnsRenamed({"__starts": "hit_starts", "__ends": "hit_ends", "__items": "hit_items"})
+    return _with_items(stage(rows.withColumn("__row", F.monotonically_increasing_id()), "hits"), members).toDF(*names, *outputs)
+
+
+def _with_items(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` with the items of their sets; rows without a set stay where they are."""
+    hit = F.size("__sets") > 0
+    lists = (rows.where(hit).select("__row", F.explode("__sets").alias("set")).join(members, "set")
+             .groupBy("__row").agg(F.array_sort(F.collect_set("item")).alias("__items")))
+    no_items = F.array().cast("array<string>")
+    listed = rows.where(hit).join(lists, "__row", "left").withColumn("__items", F.coalesce("__items", no_items))
+    every = rows.where(~hit).withColumn("__items", no_items).unionByName(listed)
+    return every.drop("__row", "__sets")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` with the hit words cut out of ``text``, and the columns of :func:`find_hits` (on the text as it was)."""
     hits = find_hits(docs, items, **options)
+    names = hits.columns
+    known = {"text", "hit_starts", "hit_ends"}
+    numbered = hits.toDF(*(c if c in known else f"k{i}" for i, c in enumerate(names)))
 
     def run(batches):
         for b in batches:
@@ -288,4 +332,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
                      zip(*(b.column(c).to_pylist() for c in ("text", "hit_starts", "hit_ends")))]
             yield batch_of({c: (texts, pa.string()) if c == "text" else (b.column(c), None) for c in b.schema.names})
 
-    return hits.mapInArrow(run, hits.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)

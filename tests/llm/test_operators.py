@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from llm_rows import PASSAGE, ROWS, text
 
 from comptoir.llm import bpe, decontam, imatch, license_scan, line_dedup, quality, sharding, simhash, substring_dedup
@@ -196,10 +197,29 @@ def test_decontamination(spark, docs, empty, options):
     got = Counter((r["doc_id"], r["n_words"], tuple(x for a, e in zip(r["hit_starts"], r["hit_ends"]) for x in range(a, e)),
                    tuple(r["hit_items"])) for r in decontam.find_hits(docs, bench, **options).collect())
     assert got == exp
+    odd = docs.withColumns({"__row": F.lit(1), "__sets": F.lit("s"), "a.b": F.col("doc_id"), "N_Words": F.lit("mine"), "set": F.lit(0)})
+    cut = decontam.decontaminate(odd, bench, **options)
+    assert cut.columns == [*(c for c in odd.columns if c != "N_Words"), "n_words", "hit_starts", "hit_ends", "hit_items"]
+    assert Counter((r["a.b"], r["n_words"], tuple(r["hit_items"])) for r in cut.collect()) == \
+        Counter({k: sum(n for (i, w, _, names), n in exp.items() if (i, w, names) == k) for k in {(i, w, names) for i, w, _, names in exp}})
     assert decontam.find_hits(empty, bench).count() == 0
     assert decontam.find_hits(docs, bench.limit(0)).where("size(hit_starts) > 0").count() == 0
 
 
+def test_items_that_share_a_phrase(spark):
+    """A header in every item: one set of all items, whose list no phrase carries."""
+    header = " ".join(f"h{i}" for i in range(10))
+    bench = spark.createDataFrame([(i, f"{header} only{i} " + text(i, 12)) for i in range(300)], "item_id long, text string")
+    found = decontam.phrases_of(bench).cache()
+    numbered, members = decontam.item_sets(found)
+    assert found.where(F.col("phrase") == F.lit(header).cast("binary")).count() == 300
+    per_set = sorted(r["count"] for r in members.groupBy("set").count().collect())
+    assert per_set[-1] == 300 and numbered.select("set").distinct().count() == len(per_set)
+    docs = spark.createDataFrame([(1, f"x {header} y"), (2, "only7 " + text(7, 12)), (3, "nothing")], "doc_id long, text string")
+    got = {r["doc_id"]: r["hit_items"] for r in decontam.find_hits(docs, bench).collect()}
+    assert got[1] == sorted(map(str, range(300))) and "7" in got[2] and got[3] == []
+
+
 def test_fm_index_counts_and_locates():
     r = np.random.default_rng(2)
     text = r.integers(0, 4, 300)
