@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--cycle-no", type=int, help="default: the time")
     c.add_argument("--parallel-reports", type=int, default=4)
     c.add_argument("--check-contract", action="store_true", help="fail the cycle on duplicate replica keys")
+    c.add_argument("--published", action="store_true", help="all reports become visible at once, by a marker")
     s = sub.add_parser("stream")
     s.add_argument("--changes", required=True)
     s.add_argument("--replica", required=True)
@@ -93,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
         res = refresh_cycle(spark, lambda: _load(a)(spark, a.replica), a.out, a.cycle_no,
                             lambda: _settings(spark, a.settings),
                             registry_path=a.registry, parallel_reports=a.parallel_reports,
-                            check_contract=a.check_contract)
+                            check_contract=a.check_contract, published=a.published)
         for key, _, err, ms in res.outcomes:
             print(f"{key:20s} {ms:7d} ms  {'ok' if err is None else err}")
         print(f"cycle {res.cycle_no}: {res.duration_ms} ms" + (f", failed: {res.cycle_error}" if res.cycle_error else ""))

@@ -24,6 +24,7 @@ from comptoir.plans.cycle import read_run_log, refresh_cycle
 from comptoir.plans.incremental import MaintainedSums
 from comptoir.plans.latest import latest_report
 from comptoir.session import scratch_path
+from comptoir.sinks.publication import read_published
 from comptoir.sinks.snapshot import replace_snapshot, snapshot_payload
 from comptoir.sources import fixtures as fx
 from comptoir.sources.keyed import KeyedTable
@@ -177,6 +178,19 @@ def q_refresh_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(runs, "tenant_id"))
 
 
+def q_published_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4: a published cycle over the ledger, then one of two reports without T1; rows of every snapshot that readers see."""
+    out, settings = scratch_path(spark, "queries", "published"), fx.settings_fixture(spark)
+    replica = _ledger(spark, sf_dir)
+    fewer = {n: df.where("tenant_id <> 'T1'") for n, df in replica.items()}
+    for some, modules in ((replica, list(REPORTS)), (fewer, ["stock", "achats"])):
+        result = refresh_cycle(spark, some, out, None, settings, modules=modules, published=True)
+        if result.cycle_error or any(error for _, _, error, _ in result.outcomes):
+            raise RuntimeError(f"{result.cycle_error} {result.outcomes}")
+    rows = [read_published(spark, out, key).select("tenant_id", F.lit(key).alias("module_key")) for key in REPORTS]
+    return reduce(DataFrame.unionByName, rows).groupBy("tenant_id", "module_key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_module_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = fx.replica_from_testdata(spark, sf_dir)
     return module_gate(fx.tenants_of(replica), fx.settings_fixture(spark))
@@ -215,6 +229,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "maintained_clients": q_maintained_clients,
     "maintained_top_clients": q_maintained_top_clients,
     "refresh_cycle": q_refresh_cycle,
+    "published_cycle": q_published_cycle,
     "module_gate": q_module_gate,
     "sync_health": q_sync_health,
     "retry_schedule": q_retry_schedule,

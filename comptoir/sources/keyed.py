@@ -16,7 +16,7 @@ is one file, written last, so a wave that was cut off is not seen and is simply
 The number of slots is a tenant's own, a power of two for about ``slot_rows`` rows a slot, so a tenant with a third of all rows has
 many and a small one has one. When a tenant has outgrown its slots twofold, the wave that finds this rewrites the tenant with more.
 
-There is one writer at a time. Keys are compared as stored; a row without tenant, key or sequence number has no place
+Files are never replaced or removed, so rows opened before a wave stay readable as they were. There is one writer at a time. Keys are compared as stored; a row without tenant, key or sequence number has no place
 here: :func:`split_keyed` diverts such rows, ``apply`` refuses them.
 """
 
@@ -68,7 +68,7 @@ class KeyedTable:
 
     @classmethod
     def of_replica(cls, spark: SparkSession, path: str, table: str, slot_rows: int = SLOT_ROWS) -> KeyedTable:
-        return cls(spark, f"{path.rstrip('/')}/{table}", REPLICA_SCHEMAS[table], KEYS[table], slot_rows)
+        return cls(spark, f"{path.rstrip('/')}/{table}", REPLICA_SCHEMAS[table], KEYS.get(table, ["tenant_id"]), slot_rows)
 
     # -- reading ------------------------------------------------------------------
     def _read(self, folder: str, schema) -> DataFrame:
@@ -145,6 +145,18 @@ class KeyedTable:
         wrote = touched.join(layout, "tenant_id").select("tenant_id", "slots", "slot").unionByName(every).distinct()
         return self._write(merged, wrote)
 
+    def replace(self, rows: DataFrame, seq: int, spread: list[str]) -> str | None:
+        """For tables without a key: ``rows`` become all rows of the tenants that they are of, but for tenants that have rows of
+        a later ``seq``. A tenant's rows are one slot here, written by many tasks, each a range of ``spread``."""
+        later = self._rows_of(self.slots()).where(F.col("change_seq") > seq).select("tenant_id").distinct()
+        rows = rows.select(*self.columns).join(later, "tenant_id", "left_anti")
+        wrote = rows.select("tenant_id", F.lit(1).alias("slots"), F.lit(0).alias("slot")).distinct().checkpoint()
+        if wrote.isEmpty():
+            return None
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self._write(rows.withColumns({"change_seq": F.lit(seq).cast("long"), "deleted": F.lit(False), "slot": F.lit(0)})
+                           .repartitionByRange(n, *spread), wrote)
+
     def forget(self, before_seq: int) -> str | None:
         """Drop tombstones older than ``before_seq``: once no row older than that can arrive any more."""
         live = self.slots().checkpoint()

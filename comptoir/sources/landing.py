@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from comptoir.schemas import REPLICA_SCHEMAS
 from comptoir.session import scratch_path
 from comptoir.sources.keyed import CHANGE, KEYS, SLOT_ROWS, KeyedTable, split_keyed
-from comptoir.sources.replica import conform, load_replica, write_replica
+from comptoir.sources.replica import SPREAD, conform
 
 REJECTED = "_rejected"
 
@@ -38,7 +38,6 @@ def land(spark: SparkSession, delivered: DataFrame, table: str, root: str, landi
     """
     if table not in KEYS and not complete:
         raise ValueError(f"{table} has no key: it is landed complete")
-    columns = REPLICA_SCHEMAS[table].fieldNames()
     # The delivery is read once: a database read twice may give two states.
     path = scratch_path(spark, "landing", table)
     delivered.write.parquet(path)
@@ -52,10 +51,10 @@ def land(spark: SparkSession, delivered: DataFrame, table: str, root: str, landi
     bad = bad.unionByName(unkeyed.select(*(F.col(c).cast(bad.schema[c].dataType).alias(c) for c in unkeyed.columns)),
                           allowMissingColumns=True)
     bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root.rstrip('/')}/{REJECTED}/{table}/landing={landing}")
+    kept = KeyedTable.of_replica(spark, root, table, slot_rows)
     if table not in KEYS:
-        write_replica({table: good.select(*columns)}, root)
+        kept.replace(good, landing, SPREAD[table])
         return
-    kept = KeyedTable.of_replica(spark, root, table, slot_rows)
     if complete:
         good = good.unionByName(_gone(kept, delivered, landing))
     kept.apply(good)
@@ -78,15 +77,11 @@ def rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def open_landed(spark: SparkSession, root: str, tenants: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The replica that landings under ``root`` left; optionally only ``tenants`` (a DataFrame of tenant_id). A table without landing is empty."""
-    out = {}
-    for table in REPLICA_SCHEMAS:
-        if table in KEYS:
-            out[table] = KeyedTable.of_replica(spark, root, table).rows()
-            if tenants is not None:
-                out[table] = out[table].join(tenants.select("tenant_id"), "tenant_id", "left_semi")
-        else:
-            out |= load_replica(spark, root, tenants, [table])
+    """The replica that landings under ``root`` left; optionally only ``tenants`` (a DataFrame of tenant_id). A table
+    without landing is empty. The tables stay as they are now, whatever is landed later."""
+    out = {table: KeyedTable.of_replica(spark, root, table).rows() for table in REPLICA_SCHEMAS}
+    if tenants is not None:
+        out = {table: df.join(tenants.select("tenant_id"), "tenant_id", "left_semi") for table, df in out.items()}
     return out
 
 
