@@ -1,0 +1,47 @@
+"""Keys that several headers bear: the maintained sums are those of the header-line join, without its rows."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from comptoir.plans import incremental as I
+from comptoir.plans.base import Base
+from comptoir.plans.incremental import MaintainedSums
+from test_incremental import DOC, equal, rows, tables
+
+DAYS = [None, *(dt.datetime(2024, 1, d) for d in range(1, 10))]
+
+
+def repeated(text="x"):
+    """A key of 30 headers (20 of them different) and 30 lines, one of two equal headers, one of a single header, and strangers."""
+    heads = [("A", "P1", 7, DAYS[i % 10], f"C{i % 20}") for i in range(30)]
+    heads += [("A", "P2", 6, None, "C1")] * 2 + [("B", "P1", 7, DAYS[1], None), ("A", "P9", 7, None, "C1"), ("A", None, 7, None, "C1")]
+    lines = [("A", "P1", 7, f"I{i % 6}", None if i % 5 else text, D(i), D(i) / 4, None if i % 3 else D(2)) for i in range(30)]
+    lines += [("A", "P2", 6, None, None, None, D("-1.5"), None), ("B", "P1", 7, "I1", "y", D(1), None, D(0)),
+              ("A", None, 7, "I1", "z", D(1), D(1), D(1)), ("A", "P8", 7, "I1", "z", D(1), D(1), D(1))]
+    return heads, lines
+
+
+def test_repeated_keys_equal_a_recompute(spark, scratch):
+    sums, state = MaintainedSums(spark, f"{scratch}/s", slots=2), repeated()
+    sums.apply(tables(spark, *state), None, 0)
+    keys = spark.createDataFrame([("A", "P1", 7), ("A", "P2", 6)], DOC)
+    new = state[0][5:], repeated("w")[1][6:]
+    for wave, (rep, changed) in enumerate([(tables(spark, *state), None), (tables(spark, *new), keys)]):
+        sums.apply(rep, changed, wave)
+        equal(sums, rep)
+        base = Base(rep).party_sales()
+        assert rows(sums.party_sales().select(*base.columns)) == rows(base)
+
+
+def test_a_repeated_key_does_not_multiply_rows(spark, scratch):
+    """30 headers and 30 lines of one key make rows as many as headers and as lines, also on the way."""
+    base = Base(tables(spark, *repeated()))
+    one = lambda df: df.where("tenant_id = 'A' AND DO_Piece = 'P1'")
+    assert one(I._doc_rows(base)).count() == 20
+    parts = one(I._part_rows(base))
+    assert parts.count() <= 12 and parts.agg(F.sum("n_lines")).first()[0] == 900
+    MaintainedSums(spark, f"{scratch}/s", slots=2).apply(base.replica, None, 0)
+    stored = MaintainedSums(spark, f"{scratch}/s", slots=2)
+    assert one(stored._table("parts", stored.commits())).count() <= 12
