@@ -1,0 +1,72 @@
+"""The ledger of many lines: buckets follow them, hot documents are found among few keys, keys may repeat over periods."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from comptoir.operators.reports import ordered_report
+from comptoir.plans.base import Base
+from comptoir.plans.inspect import plan_text
+from comptoir.plans.latest import latest_report
+from comptoir.sources import ledger as L
+from comptoir.sources.ledger import HOT, LINES, open_ledger, write_ledger
+from handmade import replica
+from test_incremental import rows, tables
+
+
+def _written(spark, monkeypatch, rep, path, **kw):
+    """The plans of the bucketed tables as they are written, by table."""
+    plans, write = {}, L._write_bucketed
+
+    def seen(df, at, table, buckets):
+        plans[table] = plan_text(df, "simple")
+        write(df, at, table, buckets)
+    monkeypatch.setattr(L, "_write_bucketed", seen)
+    write_ledger(rep, path, **kw)
+    return plans
+
+
+def test_buckets_follow_the_lines(spark, scratch, monkeypatch):
+    monkeypatch.setattr(L, "BUCKET_LINES", 1)
+    rep = replica(spark)
+    write_ledger(rep, f"{scratch}/l", period="yyyy")
+    n = rep[LINES].count()
+    assert spark.read.parquet(f"{scratch}/l/_layout").first()["buckets"] == max(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    led = open_ledger(spark, f"{scratch}/l")
+    assert led[LINES].count() == n and rows(Base(led).doc_sums()) == rows(Base(rep).doc_sums())
+
+
+def test_headers_are_shuffled_once(spark, scratch, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = _written(spark, monkeypatch, replica(spark), f"{scratch}/l", buckets=3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [plans[t].count("Exchange") for t in L.BUCKETED] == [1, 1]
+
+
+@pytest.mark.parametrize("hashes", [1, 1 << 16])
+def test_hot_documents_whatever_the_hash(spark, scratch, monkeypatch, hashes):
+    """One hash for all documents makes all of them candidates; the hot ones are the same."""
+    monkeypatch.setattr(L, "HASHES", hashes)
+    lines = tables(spark, [], [("A", p, 7, "I", None, D(1), D(1), D(1)) for p in ("P1", "P1", "P1", "P2", "P2", "P3", None, None, None)])[LINES]
+    hot, n = L._hot_documents(lines, 2)
+    assert n == 9 and {r.DO_Piece for r in hot.collect()} == {"P1", None}
+    none, n = L._hot_documents(lines, 3)
+    assert none.count() == 0 and n == 9
+
+
+@pytest.mark.parametrize("hot_lines", [1, 100])
+def test_lines_of_a_key_that_headers_of_several_periods_bear(spark, scratch, hot_lines):
+    heads = [("A", f"P{k}", 20, dt.datetime(year, 1, 1 + k), "C1") for k in range(9) for year in (2020, 2022, 2024)]
+    lines = [("A", f"P{k}", 20, f"I{i}", "x", D(i), D(i), D(1)) for k in range(9) for i in range(3)]
+    rep = tables(spark, heads, lines)
+    write_ledger(rep, f"{scratch}/l", buckets=2, hot_lines=hot_lines)
+    led = open_ledger(spark, f"{scratch}/l")
+    assert (HOT in led) == (hot_lines == 1)
+    got = latest_report("mouvements", Base(led), first_goal=2)
+    exp = ordered_report("mouvements", Base(rep))
+    assert got.count() == 81 and rows(got) == rows(exp.select(*got.columns))
+    few = latest_report("mouvements", Base(led), n=4, first_goal=1)
+    assert rows(few) == rows(exp.where("rn <= 4").select(*few.columns))
